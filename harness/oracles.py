@@ -88,9 +88,15 @@ _ORDER_COLUMNS = (
 ).split()
 
 
-def _strict_key(columns: Sequence[str]) -> str:
+def _is_text(column: str) -> bool:
+    return column.startswith("v_") or column in ("tp_pgt", "l_returnflag", "l_linestatus")
+
+
+def _strict_key(columns: Sequence[str], by_type: bool = True) -> str:
     parts = [
         f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '~')"
+        if _is_text(c) or not by_type
+        else f"coalesce(cast({c} as varchar), '~')"
         for c in columns
     ]
     return f"sha256(concat_ws('|', {', '.join(parts)}))"
@@ -315,7 +321,7 @@ ORACLES: dict[str, str] = {
     ),
     "row_key_strict": _from_landing(
         "enderecos_clientes",
-        "*, " + _strict_key(_COLUMNS["enderecos_clientes"].split()) + " as hash_id",
+        "*, " + _strict_key(_COLUMNS["enderecos_clientes"].split(), by_type=False) + " as hash_id",
     ),
     "dedupe_single_key": _first_line(
         "l_orderkey", "l_shipdate nulls first", ["l_orderkey", "l_shipdate"]

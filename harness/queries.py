@@ -21,6 +21,7 @@ from sedimenta.functions import (
     flag_label,
     money,
     row_key,
+    row_key_for,
     timestamp_or_blank,
     to_bigint,
 )
@@ -309,7 +310,7 @@ def row_key_compat(spark, sf_dir):
 @query
 def row_key_all_columns(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return lines.select("*", row_key(lines.columns).alias("hash_id"))
+    return lines.select("*", row_key_for(lines).alias("hash_id"))
 
 
 @query

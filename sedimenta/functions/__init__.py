@@ -6,7 +6,7 @@ from sedimenta.functions.dates import (
     date_or_blank,
     timestamp_or_blank,
 )
-from sedimenta.functions.keys import row_key
+from sedimenta.functions.keys import row_key, row_key_for
 from sedimenta.functions.values import (
     blank_if_null,
     decode_map,
@@ -26,6 +26,7 @@ __all__ = [
     "flag_label",
     "money",
     "row_key",
+    "row_key_for",
     "timestamp_or_blank",
     "to_bigint",
 ]

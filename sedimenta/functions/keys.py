@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from sedimenta.functions.values import ColumnOrName, as_column
 
+_PLAIN_TYPES = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
-def row_key(cols: Sequence[ColumnOrName], mode: str = "strict") -> Column:
-    """One text key for the given columns (pass ``df.columns`` for a whole-row key).
 
-    ``strict`` (the default) is SHA-256 over length-prefixed parts with a marker for NULL:
-    never NULL, and two different rows never share the hashed text.
+def row_key(
+    cols: Sequence[ColumnOrName], mode: str = "strict", plain: Collection[str] = ()
+) -> Column:
+    """One text key for the given columns.
+
+    ``strict`` (the default) is SHA-256 over the column texts, each behind its length, with
+    a marker for NULL: never NULL, and two different rows never share the hashed text.
+    Columns named in ``plain`` go in without their length, which halves the cost; their
+    text must never contain '|' nor be '~', as is so for numbers, booleans and dates.
 
     ``compat`` is BASE64 over the bare concatenation, for tables whose stored keys were
     made that way. It is NULL as soon as one column is NULL, and column borders vanish, so
@@ -24,8 +37,24 @@ def row_key(cols: Sequence[ColumnOrName], mode: str = "strict") -> Column:
         raise ValueError("row_key needs at least one column")
     texts = [as_column(c).cast("string") for c in cols]
     if mode == "strict":
-        parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts]
+        parts = [
+            F.coalesce(t if c in plain else F.concat(F.length(t), F.lit(":"), t), F.lit("~"))
+            for c, t in zip([c if isinstance(c, str) else None for c in cols], texts)
+        ]
         return F.sha2(F.concat_ws("|", *parts), 256)
     if mode == "compat":
         return F.base64(F.concat(*texts))
     raise ValueError(f"row_key mode must be 'strict' or 'compat', not {mode!r}")
+
+
+def row_key_for(
+    df: DataFrame, cols: Sequence[str] | None = None, mode: str = "strict"
+) -> Column:
+    """``row_key`` over columns of ``df`` (all by default), with ``plain`` told by type.
+
+    The key of a row therefore changes when a column goes from a number to text, and that
+    of a TIMESTAMP column follows the session time zone: keep both fixed for a table.
+    """
+    names = list(df.columns if cols is None else cols)
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, _PLAIN_TYPES)]
+    return row_key(names, mode, plain)

@@ -30,19 +30,13 @@ def dedupe(
     df: DataFrame,
     keys: str | Sequence[str],
     order_by: Sequence[str | Column] = (),
-    content_key: bool = False,
 ) -> DataFrame:
     """Keep the first row of each key under ``order_by``.
 
     Remaining columns are appended as tie-breakers, so the survivor does not depend on
     file order or task timing. NULL is one key value, as in ``dropDuplicates``.
-
-    ``content_key`` says that rows with equal keys are equal rows (a strict row key over
-    all columns): then there is nothing to order and a plain ``dropDuplicates`` does.
     """
     names = key_list(keys)
-    if content_key:
-        return df.dropDuplicates(names)
     ordered = [F.col(c) if isinstance(c, str) else c for c in order_by]
     named = {c for c in order_by if isinstance(c, str)}
     ties = [

@@ -20,7 +20,7 @@ from sedimenta.functions import (
     flag_from,
     flag_label,
     money,
-    row_key,
+    row_key_for,
     timestamp_or_blank,
     to_bigint,
 )
@@ -89,8 +89,17 @@ CLIENT = "codigo_cliente"
 
 def bronze(table: str, df: DataFrame, key_mode: str = "strict") -> DataFrame:
     """The landing columns plus the row key over all of them."""
-    columns = LANDING_COLUMNS[table]
-    return df.select(*columns, row_key(columns, key_mode).alias("hash_id"))
+    rows = df.select(*LANDING_COLUMNS[table])
+    return rows.select("*", row_key_for(rows, mode=key_mode).alias("hash_id"))
+
+
+def bronze_distinct(table: str, df: DataFrame) -> DataFrame:
+    """``bronze`` with one row per strict key.
+
+    Equal strict keys are equal rows, so the rows are made distinct before they get their
+    key: the shuffle carries no keys, and a row with many copies leaves each map task once.
+    """
+    return bronze(table, df.select(*LANDING_COLUMNS[table]).distinct())
 
 
 def discount_type(agreement: str, discount: str) -> Column:
@@ -331,16 +340,21 @@ def table_specs(
 ) -> list[TableSpec]:
     """The seven source tables, in load order.
 
-    With strict keys a key stands for the whole row, and the silver steps map rows one to
-    one, so silver needs no dedupe. Compat keys can be NULL and then collapse rows.
+    With strict keys bronze holds each key once and the silver steps map rows one to one,
+    so silver needs no dedupe. Compat keys can be NULL and collapse rows, in both steps.
     """
     formats = {"clientes_opt": LandingFormat(format_in="json"), **(landing or {})}
     strict = key_mode == "strict"
     return [
         TableSpec(
             name=name,
-            bronze=StepSpec(partial(bronze, name, key_mode=key_mode), content_key=strict),
-            silver=StepSpec(SILVER[name], content_key=strict, one_to_one=True),
+            bronze=StepSpec(
+                partial(bronze_distinct, name)
+                if strict
+                else partial(bronze, name, key_mode=key_mode),
+                distinct=strict,
+            ),
+            silver=StepSpec(SILVER[name], distinct=strict, one_to_one=True),
             landing=formats.get(name, LandingFormat()),
         )
         for name in LANDING_COLUMNS

@@ -39,18 +39,17 @@ class StepSpec:
     ``merge_key``      upsert on these columns instead, to keep only the newest version of
                        a record whose content changed.
     ``order_by``       which row survives among equal keys.
-    ``content_key``    equal keys mean equal rows (a strict row key over all columns).
+    ``distinct``       the transform already returns one row per key, so no dedupe follows.
     ``one_to_one``     the transform maps each input row to one output row and carries the
-                       key along. With a content key the input table already holds each key
-                       once, so neither dedupe nor key join is needed and the step does not
-                       shuffle.
+                       key along. If the input holds each key once, the step is then
+                       ``distinct`` as well, and all of it runs without a shuffle.
     """
 
     transform: Transform
     key: Sequence[str] = ("hash_id",)
     merge_key: Sequence[str] | None = None
     order_by: Sequence[str] = ()
-    content_key: bool = False
+    distinct: bool = False
     one_to_one: bool = False
     view: str | None = None
 
@@ -60,8 +59,8 @@ class StepSpec:
 
     @property
     def keeps_keys(self) -> bool:
-        """Whether the stored input, keyed the same way, guarantees unique output keys."""
-        return self.one_to_one and self.content_key and self.merge_key is None
+        """Whether the keys of the output are exactly those of the input."""
+        return self.one_to_one and self.distinct and self.merge_key is None
 
 
 @dataclass(frozen=True)

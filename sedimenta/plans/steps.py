@@ -33,7 +33,7 @@ def apply_step(df: DataFrame, step: StepSpec, as_of: AsOf = None) -> DataFrame:
     shaped = shape_step(df, step, as_of)
     if step.merge_key is not None:
         return dedupe(shaped, step.merge_key, step.order_by)
-    return dedupe(shaped, step.key, step.order_by, content_key=step.content_key)
+    return shaped if step.distinct else dedupe(shaped, step.key, step.order_by)
 
 
 def shape_step(df: DataFrame, step: StepSpec, as_of: AsOf = None) -> DataFrame:
@@ -103,12 +103,9 @@ def run_silver(
     bronze = store.read("bronze", spec.name)
     batch = only_unprocessed(bronze) if incremental else bronze
     step = spec.silver
-    if step.keeps_keys:
-        if batch.isEmpty():
-            return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
-        frame = shape_step(batch, step, as_of)
-    else:
-        frame = apply_step(batch, step, as_of)
+    if step.keeps_keys and batch.isEmpty():
+        return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
+    frame = apply_step(batch, step, as_of)
     saved = store.save(
         frame, "silver", spec.name, list(step.upsert_key), stage=not step.keeps_keys
     )
