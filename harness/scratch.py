@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -11,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.plans.spec import LakeLayout
+from sedimenta.sources import files
 
 _DOCUMENT_ROWS = 5000
-_local_root: str | None = None
-
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``. Only a local session, where
@@ -24,15 +21,15 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    global _local_root
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="sedimenta-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    return tempfile.gettempdir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder no other query uses, gone when the driver ends. Results are lazy and read
+    from it, so it cannot go earlier."""
+    folder = f"{scratch_root(spark)}/sedimenta/{name}-{uuid.uuid4().hex}"
+    files.delete_at_exit(spark, folder)
+    return f"{folder}/data"
 
 
 def new_lake(spark: SparkSession, name: str) -> LakeLayout:

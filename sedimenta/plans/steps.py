@@ -106,9 +106,8 @@ def run_silver(
     if step.keeps_keys and batch.isEmpty():
         return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
     frame = apply_step(batch, step, as_of)
-    saved = store.save(
-        frame, "silver", spec.name, list(step.upsert_key), stage=not step.keeps_keys
-    )
+    plain_scan = step.keeps_keys and not incremental
+    saved = store.save(frame, "silver", spec.name, list(step.upsert_key), stage=not plain_scan)
     if saved.empty:
         return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
     if not spec.set_on_bronze:

@@ -42,12 +42,13 @@ class SnapshotStore:
         self, source: DataFrame, layer: str, table: str, on: Keys, stage: bool = True
     ) -> Saved:
         """Create the table, or upsert ``source``, whose keys are distinct. ``stage=False``
-        leaves out the intermediate files: for a source that is a mere scan with rows in it."""
+        leaves out the intermediate files: for a source that is a mere scan of rows, about
+        as many as the table has."""
         path = self.layout.path(layer, table)
         if stage or not snapshots.table_exists(self.spark, path):
             info = snapshots.create_or_upsert(source, path, on, source_unique=True)
         else:
-            info = snapshots.upsert(source, path, on, source_unique=True)
+            info = snapshots.upsert(source, path, on, source_unique=True, form="outer")
         self._expire(path)
         return Saved(None, empty=True) if info is None else Saved(info.rows)
 

@@ -39,6 +39,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have ``path`` deleted when the driver ends, if it exists by then."""
+    fs, p = _open(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def move_into(spark: SparkSession, file: str, directory: str) -> str:
     """Move one file below ``directory``; a name already taken there gets a suffix."""
     fs, source = _open(spark, file)

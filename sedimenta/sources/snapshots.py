@@ -28,6 +28,7 @@ from sedimenta.sources import files
 
 _PREFIX = "v="
 _STAGING = "_staging"
+_SMALL_SOURCE = 10 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -85,8 +86,8 @@ def _write_counted(df: DataFrame, goal: str) -> int:
 
 
 @contextmanager
-def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int]]:
-    """``df`` computed once and held in files next to the table, with its row count.
+def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, int]]:
+    """``df`` computed once and held in files next to the table, with its rows and bytes.
 
     A merge reads its source several times. From files those reads are scans, lost
     executors cost no recomputation of the source, and the optimizer knows its size.
@@ -94,7 +95,8 @@ def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int]]:
     goal = f"{table_path.rstrip('/')}/{_STAGING}/{uuid.uuid4().hex}"
     rows = _write_counted(df, goal)
     try:
-        yield df.sparkSession.read.schema(df.schema).parquet(goal), rows
+        size = files.total_bytes(df.sparkSession, goal)
+        yield df.sparkSession.read.schema(df.schema).parquet(goal), rows, size
     finally:
         files.delete(df.sparkSession, goal)
 
@@ -106,11 +108,12 @@ def upsert(
     *,
     delete_when: str | Column | None = None,
     source_unique: bool = False,
+    form: str = "probe",
 ) -> SnapshotInfo:
     """Update all columns on a match, insert otherwise, delete where asked."""
     target = read_table(source.sparkSession, path)
     merged = merge_frames(
-        target, source, on, delete_when=delete_when, source_unique=source_unique
+        target, source, on, delete_when=delete_when, source_unique=source_unique, form=form
     )
     return write_snapshot(merged, path)
 
@@ -155,7 +158,11 @@ def create_or_upsert(
     *,
     source_unique: bool = False,
 ) -> SnapshotInfo | None:
-    """Create the table from ``source``, or upsert into it; None if there were no rows."""
+    """Create the table from ``source``, or upsert into it; None if there were no rows.
+
+    A table made by this alone from sources with distinct keys holds each key once, so with
+    ``source_unique`` a source too large to broadcast is merged in the ``outer`` form.
+    """
     spark = source.sparkSession
     if not table_exists(spark, path):
         info = write_snapshot(source, path)
@@ -163,13 +170,11 @@ def create_or_upsert(
             return info
         files.delete(spark, info.path)
         return None
-    with staged(source, path) as (batch, rows):
+    with staged(source, path) as (batch, rows, size):
         if not rows:
             return None
-        merged = merge_frames(
-            read_table(spark, path), batch, on, source_unique=source_unique
-        )
-        return write_snapshot(merged, path)
+        form = "outer" if source_unique and size > _SMALL_SOURCE else "probe"
+        return upsert(batch, path, on, source_unique=source_unique, form=form)
 
 
 def compact_table(
