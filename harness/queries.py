@@ -588,7 +588,7 @@ def gold_vendas(spark, sf_dir):
 
 @query
 def gold_clientes_rows(spark, sf_dir):
-    return retail.gold_clientes_rows(_silver_views(spark, sf_dir, _CLIENTS), AS_OF_DAY)
+    return retail.gold_clientes_rows(_silver_views(spark, sf_dir, _CLIENTS), AS_OF_DAY, salts=8)
 
 
 @query

@@ -273,8 +273,8 @@ def gold_vendas_concat(silver: Mapping[str, DataFrame]) -> DataFrame:
     sales = silver["vendas"].select(*SALE, "data_emissao", "codigo_cliente")
     links = silver["pedido_venda"].select(*SALE, "id_pedido")
     orders = silver["pedidos"].select("id_pedido", "canal_venda")
-    with_items = join_on_concat(join_on_concat(sales, links, SALE), _sale_items(silver), SALE)
-    return _gold_vendas_columns(with_items.join(orders, "id_pedido"))
+    headers = join_on_concat(sales, links, SALE).join(orders, "id_pedido").drop("id_pedido")
+    return _gold_vendas_columns(join_on_concat(headers, _sale_items(silver), SALE))
 
 
 def _profiles(silver: Mapping[str, DataFrame], one_each: bool) -> DataFrame:
@@ -312,7 +312,9 @@ def _gold_clientes_columns(joined: DataFrame, as_of: dt.date | str | None) -> Da
 def gold_clientes_rows(
     silver: Mapping[str, DataFrame], as_of: dt.date | str | None = None, salts: int = 1
 ) -> DataFrame:
-    """Clients once per address. ``salts`` spreads clients with very many addresses."""
+    """Clients once per address. Both joins share one partitioning, where AQE cannot split a
+    client with very many addresses; ``salts`` above 1 spreads such clients, if the
+    addresses come straight from a table."""
     addresses = silver["enderecos_clientes"].select(CLIENT, "UF_endereco", "cidade_endereco")
     joined = join_skewed(addresses, _profiles(silver, one_each=False), CLIENT, salts)
     return _gold_clientes_columns(joined, as_of)

@@ -87,6 +87,14 @@ def test_write_modes_and_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6 and os.path.isdir(f"{path}/p=1")
 
 
+def test_appended_columns_are_read_when_schemas_are_merged(spark, tmp_path):
+    path = str(tmp_path / "e")
+    write_files(spark.createDataFrame([(1, "a")], "k int, old string"), path)
+    write_files(spark.createDataFrame([(2, "b")], "k int, new string"), path, mode="append")
+    got = read_landing(spark, path, LandingFormat(options={"mergeSchema": "true"}))
+    assert rows(got.select("k", "old", "new")) == [(1, "a", None), (2, None, "b")]
+
+
 def test_absent_and_empty_folders_are_told_apart_from_errors(spark, tmp_path):
     for path in (tmp_path / "none", tmp_path):
         with pytest.raises(AnalysisException) as error:
