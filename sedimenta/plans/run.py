@@ -29,11 +29,12 @@ def run_lake(
     """Bronze and silver of each table, then the gold tables, in the order given.
 
     Source tables do not depend on one another, so ``threads`` of them may be submitted at
-    a time, which fills the cluster while small tables run. Gold tables come after all
-    silver tables, one by one.
+    a time, which fills the cluster while small tables run; under a FAIR scheduler each
+    has a pool of its own. Gold tables come after all silver tables, one by one.
     """
 
     def load(spec: TableSpec) -> list[StepResult]:
+        store.spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         return [
             run_bronze(store, spec, layout, as_of, archive),
             run_silver(store, spec, as_of, incremental),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -97,10 +98,10 @@ def archive_files(spark: SparkSession, paths: Iterable[str], archive: str) -> in
     """Move the given files to ``archive``; the number of files moved.
 
     Pass the ``inputFiles()`` of the frame that was loaded, so that files which arrived
-    since then stay in the landing folder for the next run.
+    since then stay in the landing folder for the next run. Those paths are URL-encoded.
     """
     moved = 0
     for path in paths:
-        files.move_into(spark, path, archive)
+        files.move_into(spark, unquote(path), archive)
         moved += 1
     return moved

@@ -15,6 +15,7 @@ rewrites the touched files only.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -28,7 +29,7 @@ from sedimenta.sources import files
 
 _PREFIX = "v="
 _STAGING = "_staging"
-_SMALL_SOURCE = 10 * 1024 * 1024
+_UNITS = {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 
 
 @dataclass(frozen=True)
@@ -101,6 +102,13 @@ def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, int
         files.delete(df.sparkSession, goal)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which the optimizer broadcasts a side on its own; 0 if it never does."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]?)b?", text).groups()
+    return max(0, int(number) << _UNITS[unit])
+
+
 def upsert(
     source: DataFrame,
     path: str,
@@ -173,7 +181,8 @@ def create_or_upsert(
     with staged(source, path) as (batch, rows, size):
         if not rows:
             return None
-        form = "outer" if source_unique and size > _SMALL_SOURCE else "probe"
+        large = size > broadcast_limit(spark)
+        form = "outer" if source_unique and large else "probe"
         return upsert(batch, path, on, source_unique=source_unique, form=form)
 
 

@@ -19,7 +19,7 @@ class Recorder:
         return call
 
 
-def test_upsert_deletes_before_it_updates():
+def test_upsert_deletes_before_it_updates(spark):
     calls = []
     catalog.merge_upsert(Recorder(calls), "lake.t", ["k"], delete_when=F.col("source.d"))
     names = [c[0] for c in calls]
@@ -28,7 +28,7 @@ def test_upsert_deletes_before_it_updates():
     assert calls[1][1] == "lake.t" and "lake.t.k" in calls[1][2] and "source.k" in calls[1][2]
 
 
-def test_set_updates_matches_only():
+def test_set_updates_matches_only(spark):
     calls = []
     catalog.merge_set(Recorder(calls), "lake.t", [("a", "b")], {"processed": "true"})
     assert [c[0] for c in calls] == ["alias", "mergeInto", "whenMatched", "update", "merge"]

@@ -25,7 +25,7 @@ from sedimenta.sources import (
     write_snapshot,
 )
 from sedimenta.sources.landing import is_absent
-from sedimenta.sources.snapshots import set_matched_many
+from sedimenta.sources.snapshots import broadcast_limit, set_matched_many
 
 
 def test_multiline_json_columns_come_in_alphabetical_order(spark, tmp_path):
@@ -103,7 +103,7 @@ def test_absent_and_empty_folders_are_told_apart_from_errors(spark, tmp_path):
 
 
 def test_archive_moves_only_what_was_read(spark, tmp_path):
-    path, done = str(tmp_path / "in"), str(tmp_path / "done")
+    path, done = str(tmp_path / "in é 1"), str(tmp_path / "done")
     write_files(spark.range(4).repartition(2), path)
     taken = read_landing(spark, path)
     files = taken.inputFiles()
@@ -167,6 +167,36 @@ def test_staging_is_cleared_when_a_merge_fails(spark, tmp_path):
     assert [n for n in os.listdir(f"{path}/_staging") if not n.startswith(".")] == []
 
 
+def test_broadcast_limit_follows_the_session(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        for text, want in {"-1": 0, "1024": 1024, "5b": 5, "2k": 2048, "3MB": 3 << 20, "1g": 1 << 30}.items():
+            spark.conf.set(name, text)
+            assert broadcast_limit(spark) == want
+    finally:
+        spark.conf.set(name, before)
+    assert broadcast_limit(spark) == 10 << 20
+
+
+def test_large_sources_are_merged_in_one_join_with_the_same_result(spark, tmp_path):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    first = spark.createDataFrame([(1, 1), (None, 2), (3, 3)], "k int, v int")
+    second = spark.createDataFrame([(3, 30), (None, 20), (4, 40)], "k int, v int")
+    stored = []
+    try:
+        for limit in (before, "-1"):
+            spark.conf.set(name, limit)
+            path = str(tmp_path / limit)
+            create_or_upsert(first, path, "k", source_unique=True)
+            assert create_or_upsert(second, path, "k", source_unique=True).rows == 5
+            stored.append(rows(read_table(spark, path)))
+    finally:
+        spark.conf.set(name, before)
+    assert stored[0] == stored[1]
+
+
 def test_stored_upsert_with_delete_and_set(spark, tmp_path):
     path = str(tmp_path / "t")
     write_snapshot(spark.createDataFrame([(1, 1, False), (2, 2, False)], "k int, v int, p boolean"), path)
