@@ -445,6 +445,7 @@ ORACLES: dict[str, str] = {
         "pedidos", f'true as processed, {_CREATED} as "creationDate"'
     ),
     "rerun_incremental": _silver("itens_vendas"),
+    "partitioned_batches": _silver("vendas"),
     "gold_write_back": f"""
         with {_silver_tables(_SALES, True)}, coupons as (
           select distinct codigo_filial, codigo_cupom_venda from ({_GOLD_VENDAS_ROWS}))

@@ -38,6 +38,7 @@ from sedimenta.operators import (
     with_audit,
 )
 from sedimenta.plans import (
+    PartitionedStore,
     SnapshotStore,
     apply_step,
     report_frame,
@@ -658,6 +659,23 @@ def rerun_incremental(spark, sf_dir):
     return store.read("silver", "itens_vendas")
 
 
+@query
+def partitioned_batches(spark, sf_dir):
+    """Sales in two batches into tables split by year, marked and merged year by year."""
+    layout = new_lake(spark, "batches")
+    years = {
+        ("bronze", "vendas"): F.year("d_dt_vd"),
+        ("silver", "vendas"): F.substring("data_emissao", 1, 4),
+    }
+    store, spec = PartitionedStore(spark, layout, years), _spec("vendas")
+    sales = landing(spark, sf_dir, "vendas")
+    for batch in (sales.where("d_dt_vd < timestamp '1998-01-01'"), sales):
+        write_files(batch, layout.path("transient", "vendas"))
+        run_bronze(store, spec, layout, AS_OF)
+        run_silver(store, spec, AS_OF, incremental=True)
+    return store.read("silver", "vendas")
+
+
 @query
 def gold_write_back(spark, sf_dir):
     layout = new_lake(spark, "write-back")

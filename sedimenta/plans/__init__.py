@@ -1,5 +1,6 @@
 """Job specifications and the layer steps that run them."""
 
+from sedimenta.plans.partitioned import PartitionedStore
 from sedimenta.plans.run import run_lake, report_frame
 from sedimenta.plans.spec import GoldSpec, LakeLayout, StepResult, StepSpec, TableSpec
 from sedimenta.plans.sql import run_sql, temp_views
@@ -10,6 +11,7 @@ __all__ = [
     "CatalogStore",
     "GoldSpec",
     "LakeLayout",
+    "PartitionedStore",
     "SnapshotStore",
     "StepResult",
     "StepSpec",

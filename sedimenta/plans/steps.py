@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators.audit import PROCESSED, normalize_temporal, only_unprocessed, with_audit
 from sedimenta.operators.dedupe import dedupe
+from sedimenta.plans.partitioned import PartitionedStore
 from sedimenta.plans.spec import GoldSpec, LakeLayout, StepResult, StepSpec, TableSpec
 from sedimenta.plans.sql import run_sql
 from sedimenta.plans.stores import CatalogStore, SnapshotStore
 from sedimenta.sources.landing import archive_files, is_absent, read_landing
 
-Store = SnapshotStore | CatalogStore
+Store = SnapshotStore | PartitionedStore | CatalogStore
 AsOf = str | dt.datetime | None
 
 log = logging.getLogger(__name__)

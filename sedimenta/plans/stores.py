@@ -1,4 +1,4 @@
-"""Where layer tables are kept. Both stores offer the same five operations."""
+"""Where layer tables are kept. All stores offer the same five operations."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sedimenta.operators.merge import KeyColumn, key_pairs
 from sedimenta.plans.spec import LakeLayout
@@ -63,13 +62,7 @@ class SnapshotStore:
     def set_where(self, layer: str, table: str, rows: Column, values: Values) -> None:
         """Set columns of the rows that meet a condition. Does not shuffle."""
         path = self.layout.path(layer, table)
-        target = snapshots.read_table(self.spark, path)
-        types = {f.name: f.dataType for f in target.schema.fields}
-        changed = {
-            c: F.when(rows, _value(v).cast(types[c])).otherwise(F.col(c))
-            for c, v in values.items()
-        }
-        snapshots.write_snapshot(target.withColumns(changed), path)
+        snapshots.set_where(self.spark, path, rows, values)
         self._expire(path)
 
     def _expire(self, path: str) -> None:
@@ -111,7 +104,3 @@ class CatalogStore:
 
     def set_where(self, layer: str, table: str, rows: Column, values: Values) -> None:
         catalog.update_where(self.spark, self.name(layer, table), rows, values)
-
-
-def _value(value: str | Column) -> Column:
-    return F.expr(value) if isinstance(value, str) else value

@@ -58,3 +58,18 @@ def move_into(spark: SparkSession, file: str, directory: str) -> str:
     if not fs.rename(source, goal):
         raise OSError(f"could not move {file} to {directory}")
     return goal.toString()
+
+
+def rename(spark: SparkSession, source: str, goal: str) -> None:
+    """Move a directory to a name that is not taken yet."""
+    fs, old = _open(spark, source)
+    _, new = _open(spark, goal)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {goal}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, p = _open(spark, path)
+    fs.create(p, True).close()

@@ -2,7 +2,7 @@
 
 A table is a directory holding one directory per version:
 
-    VENDAS/v=000001/  VENDAS/v=000002/ ...
+    VENDAS/v000001/  VENDAS/v000002/ ...
 
 Readers take the highest version that has its ``_SUCCESS`` marker, which Spark's commit
 writes last, so a half-written version is never seen. A version never changes once
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from sedimenta.operators.merge import KeyColumn, key_pairs, merge_frames
 from sedimenta.sources import files
 
-_PREFIX = "v="
+_VERSION = re.compile(r"v(\d{6,})")
 _STAGING = "_staging"
 _UNITS = {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 
@@ -42,13 +42,13 @@ class SnapshotInfo:
 
 
 def _version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/{_PREFIX}{version:06d}"
+    return f"{path.rstrip('/')}/v{version:06d}"
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """All version numbers present, complete or not, ascending."""
-    names = (n for n in files.subdirectories(spark, path) if n.startswith(_PREFIX))
-    return sorted(int(n.removeprefix(_PREFIX)) for n in names)
+    found = (_VERSION.fullmatch(n) for n in files.subdirectories(spark, path))
+    return sorted(int(m.group(1)) for m in found if m)
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -79,6 +79,20 @@ def write_snapshot(df: DataFrame, path: str) -> SnapshotInfo:
     return SnapshotInfo(version, goal, _write_counted(df, goal))
 
 
+def adopt_snapshot(spark: SparkSession, files_path: str, path: str) -> None:
+    """Make finished Parquet files the first version of a table, by moving their folder."""
+    version = max(_versions(spark, path), default=0) + 1
+    goal = _version_path(path, version)
+    files.rename(spark, files_path, goal)
+    files.touch(spark, goal + "/_SUCCESS")
+
+
+def latest_path(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest complete version."""
+    version = latest_version(spark, path)
+    return None if version is None else _version_path(path, version)
+
+
 def _write_counted(df: DataFrame, goal: str) -> int:
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -159,6 +173,19 @@ def set_matched_many(
     return done
 
 
+def set_where(
+    spark: SparkSession, path: str, rows: Column, values: Mapping[str, str | Column]
+) -> SnapshotInfo:
+    """Set columns of the rows that meet a condition. Does not shuffle."""
+    target = read_table(spark, path)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    changed = {}
+    for name, value in values.items():
+        new = F.expr(value) if isinstance(value, str) else value
+        changed[name] = F.when(rows, new.cast(types[name])).otherwise(F.col(name))
+    return write_snapshot(target.withColumns(changed), path)
+
+
 def create_or_upsert(
     source: DataFrame,
     path: str,

@@ -130,7 +130,7 @@ def test_readers_skip_a_version_without_success_marker(spark, tmp_path):
         read_table(spark, path)
     write_snapshot(spark.range(1), path)
     write_snapshot(spark.range(2), path)
-    os.remove(f"{path}/v=000002/_SUCCESS")
+    os.remove(f"{path}/v000002/_SUCCESS")
     assert latest_version(spark, path) == 1 and read_table(spark, path).count() == 1
     assert write_snapshot(spark.range(3), path).version == 3
     assert read_table(spark, path).count() == 3
@@ -214,7 +214,7 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     path = str(tmp_path / "t")
     write_snapshot(spark.range(1000).repartition(20), path)
     assert compact_table(spark, path).rows == 1000
-    files = [f for f in os.listdir(f"{path}/v=000002") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{path}/v000002") if f.endswith(".parquet")]
     assert len(files) == 1 and read_table(spark, path).count() == 1000
     with pytest.raises(FileNotFoundError):
         compact_table(spark, str(tmp_path / "none"))
@@ -224,7 +224,7 @@ def test_expire_keeps_the_newest_complete_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in range(1, 6):
         write_snapshot(spark.range(n), path)
-    os.remove(f"{path}/v=000002/_SUCCESS")
+    os.remove(f"{path}/v000002/_SUCCESS")
     assert expire_snapshots(spark, path, keep=2) == [1, 2, 3]
     assert read_table(spark, path).count() == 5 and read_table(spark, path, 4).count() == 4
     assert expire_snapshots(spark, path, keep=2) == []

@@ -163,7 +163,7 @@ def test_old_versions_are_expired(spark, store, layout):
     for n in range(4):
         land(spark, layout, "vendas", SALES_SCHEMA, sale(1, n))
         load(store, layout, spec("vendas"))
-    versions = [d for d in os.listdir(layout.path("bronze", "vendas")) if d.startswith("v=")]
+    versions = [d for d in os.listdir(layout.path("bronze", "vendas")) if d.startswith("v0")]
     assert len(versions) == 3 and store.read("bronze", "vendas").count() == 4
 
 
