@@ -53,6 +53,17 @@ def dedupe(
     )
 
 
+def distinct_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The distinct values of some columns, for use next to a join on them.
+
+    They are grouped as one struct, so the grouping does not share the partitioning of a join
+    on the columns. Sharing would save a shuffle of these few rows, but AQE can only split a
+    hot key of a join whose inputs come fresh from a shuffle and whose output goes to one.
+    """
+    keys = df.select(F.struct(*[F.col(c) for c in names]).alias("key"))
+    return keys.distinct().select(*[F.col("key").getField(c).alias(c) for c in names])
+
+
 def latest_per_key(
     df: DataFrame, keys: str | Sequence[str], version: str = CREATED
 ) -> DataFrame:

@@ -125,7 +125,8 @@ def merge_frames(
     merged = joined.select(*kept)
     if not insert:
         return merged
-    return merged.unionByName(_unmatched(target, source, pairs).select(*new).toDF(*names))
+    unmatched = _unmatched(target, source, pairs, source_unique)
+    return merged.unionByName(unmatched.select(*new).toDF(*names))
 
 
 def _resolve(target: DataFrame, source: DataFrame, pairs: Sequence[KeyPair]) -> dict[str, str]:
@@ -168,8 +169,9 @@ def _probe(source: DataFrame, pairs: Sequence[KeyPair], unique: bool) -> DataFra
 
     NULL keys cannot match and are left out. Keys are taken from the folded row, not from the
     grouping, on purpose: the join then shuffles both sides afresh, which is what AQE needs
-    to split a hot target key, and the source is the small side of that. The count is a partial aggregate, so a key with very many source rows folds into one
-    row per map task before the shuffle.
+    to split a hot target key, and the source is the small side of that. The count is a
+    partial aggregate, so a key with very many source rows folds into one row per map task
+    before the shuffle.
     """
     if unique:
         return source.withColumn(_HIT, F.lit(1).cast("bigint"))
@@ -234,16 +236,22 @@ def _inserted_value(field: StructField, fields: Mapping[str, str]) -> Column:
     return F.lit(None).cast(field.dataType).alias(field.name)
 
 
-def _unmatched(target: DataFrame, source: DataFrame, pairs: Sequence[KeyPair]) -> DataFrame:
+def _unmatched(
+    target: DataFrame, source: DataFrame, pairs: Sequence[KeyPair], unique: bool
+) -> DataFrame:
     """Source rows whose key the target does not hold.
 
-    The target's keys are first cut down to those the source asks for and folded to one
-    row each, so what meets the source in the anti join is never larger than the source.
+    The target's keys are cut down to those the source asks for, so what meets the source in
+    the anti join is never larger than the source. The keys of both sides are folded to one
+    row each on the map side: key columns alone compress so well that AQE, which goes by
+    bytes, would not see a hot one. If the source can be broadcast, the optimizer moves the
+    semi join below the fold of the target's keys, so those are not shuffled.
     """
     names = [f"__k{i}" for i in range(len(pairs))]
     held = target.select(*[F.col(_q(p.target)).alias(n) for p, n in zip(pairs, names)])
     asked = source.select(*[F.col(_q(p.source)).alias(n) for p, n in zip(pairs, names)])
-    found = held.join(asked, names, "left_semi").distinct().alias("found")
+    asked = asked if unique else asked.distinct()
+    found = held.distinct().join(asked, names, "left_semi").alias("found")
     same = F.lit(True)
     for p, n in zip(pairs, names):
         same = same & (F.col(f"source.{_q(p.source)}") == F.col(f"found.{n}"))

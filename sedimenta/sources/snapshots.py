@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.operators.dedupe import distinct_keys
 from sedimenta.operators.merge import KeyColumn, key_pairs, merge_frames
 from sedimenta.sources import files
 
@@ -168,7 +169,7 @@ def set_matched_many(
     """
     done = {}
     for path, on in tables.items():
-        keys = source.select(*[p.source for p in key_pairs(on)]).distinct()
+        keys = distinct_keys(source, [p.source for p in key_pairs(on)])
         done[path] = set_matched(keys, path, on, values, source_unique=True)
     return done
 

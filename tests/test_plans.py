@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators import dedupe, join_on_columns, join_on_concat, merge_frames
+from sedimenta.operators.dedupe import distinct_keys
 from sedimenta.plans import apply_step, retail
 from sedimenta.sources import read_table, write_snapshot
 
@@ -72,6 +73,8 @@ def test_small_source_merges_without_shuffling_the_target(spark, tmp_path):
     text = plan(merge_frames(target, source, "k", source_unique=True), final=True)
     assert "LeftOuter BuildRight" in text or "LeftOuter, BuildRight" in text
     assert "SortMergeJoin" not in text and "NestedLoop" not in text
+    fold = text.index("HashAggregate", text.index("LeftAnti"))
+    assert fold < text.index("LeftSemi"), "all keys of the target are shuffled"
     assert re.search(r"ReadSchema: struct<k:bigint>", text), "second scan reads more than keys"
 
 
@@ -87,7 +90,15 @@ def test_hot_target_key_is_split(spark, tmp_path, conf):
     source = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for unique in (True, False):
         text = plan(merge_frames(hot, source, "k", source_unique=unique), final=True)
-        assert "SortMergeJoin(skew=true)" in text
+        assert re.search(r"SortMergeJoin\(skew=true\).* LeftOuter", text)
+        # the keys looked for in the target are folded before they are shuffled
+        assert re.search(r"HashAggregate\(keys=\[__k0#\d+L\][^\n]*\n[^\n]*Project \[CASE", text)
+    repeated = source.union(source)
+    keys = distinct_keys(repeated, ["k"])
+    marked = merge_frames(
+        hot, keys, "k", update={"v": "0"}, insert=False, source_unique=True)
+    assert "SortMergeJoin(skew=true)" in plan(marked, final=True)
+    assert marked.where("v = 0").count() > 40000 / 3
 
 
 def test_hot_sale_is_split_in_gold_vendas_items(spark, conf):
