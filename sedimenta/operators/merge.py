@@ -13,7 +13,7 @@ never shuffles the target when the source is small, since the optimizer can broa
 right side of a left or semi join, and lets AQE split a hot target key over many tasks. It
 costs a second scan of the target, of the key columns only.
 
-``outer`` is one FULL OUTER JOIN: each side is read, shuffled and sorted once, which is about
+``outer`` is one FULL OUTER JOIN: each side is read, shuffled and sorted once, which is two to
 three times faster where neither side is small. Spark can neither broadcast nor split such a
 join, so it is for tables that hold each key once. NULL keys are led around the join.
 """
