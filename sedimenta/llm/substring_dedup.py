@@ -301,10 +301,11 @@ def remove_repeats(
     text_col: str = "text",
 ) -> DataFrame:
     """One row a document: its words, how many of them go, and the text that is left (words
-    joined by a space) with its digest. `buckets` defaults to eight for each partition of the
-    session's shuffles, so that a bucket shrinks as the cluster grows."""
+    joined by a space) with its digest. `buckets` defaults to two for each partition of the
+    session's shuffles, so that a bucket
+    shrinks as the cluster grows; each task packs what it sends into one row a bucket at most."""
     spark = documents.sparkSession
-    count = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
