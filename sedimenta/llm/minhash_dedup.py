@@ -14,9 +14,11 @@ a component is all that links reach.
 3. Candidates are confirmed in three rounds, so that a large group costs a few comparisons a
    node, not all pairs: (A) each node with the smallest node it shares a table with; (B) in each
    table, each node with the table's smallest, if their components still differ; (C) in tables
-   that still hold several components, the nodes of different components, if their sizes allow
-   the similarity. Round C leaves no candidate pair of different components unconfirmed, so
-   components are those of all candidate links.
+   that still hold several components, the nodes of different components, if their sizes and
+   `BITS` one-bit minhashes allow the similarity: bits of a pair with s differ with probability
+   (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations (which 1e-5 of
+   the pairs at the threshold do). Groups whose members are alike, but not enough to be linked,
+   so pass few pairs on. Round C leaves no such pair of different components unconfirmed.
 4. Components come from smallest-neighbour labels with pointer jumps, on written tables.
 
 Nulls and edges: an empty or null text has no shingles and is linked with nothing. A null id is
@@ -41,7 +43,10 @@ HALVES = 20
 ROWS = 3
 WORDS = 5
 PERCENT = 80
+BITS = 1024
+DEVIATIONS = 4.3
 
+_BIT_FACTORS = multipliers(BITS, 403)
 _MULTIPLY = multipliers(HALVES * ROWS, 401)
 _TOGETHER = multipliers(ROWS, 402)
 
@@ -108,6 +113,35 @@ def _sets(words: int):
     return run
 
 
+def bit_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One bit of each of `BITS` minhashes, packed into words of 64, for sets that are not empty."""
+    values = np.concatenate(sets)
+    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+    out = np.zeros((len(sets), BITS // 64), dtype=np.uint64)
+    for i, factor in enumerate(_BIT_FACTORS):
+        least = np.minimum.reduceat((values ^ (values >> np.uint64(23 + i % 13))) * factor, starts)
+        out[:, i // 64] |= (mix(least, i) >> np.uint64(63)) << np.uint64(i % 64)
+    return out.view(np.int64)
+
+
+def most_different_bits(percent: int) -> int:
+    p = (1 - percent / 100) / 2
+    return int(np.ceil(BITS * p + DEVIATIONS * np.sqrt(BITS * p * (1 - p))))
+
+
+_BIT_COLUMNS = [f"bits{i}" for i in range(BITS // 64)]
+
+
+def _sketch_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            rows = bit_sketches([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in column(part, "items")])
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "id"), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)], names=["id", *_BIT_COLUMNS]
+            )
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,11 +270,30 @@ def near_duplicates(
 
     owned = scratch.keep(rounds.labelled(tables, "id", "component"), "owned")
     mixed = owned.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = scratch.keep(owned.join(mixed.select("table"), "table", "left_semi"), "left")
-    one = left.select("table", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-    two = left.select("table", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-    sized = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    across = one.join(two, "table").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sized)
+    left = scratch.keep(owned.join(mixed.select("table"), "table", "left_semi").select("id", "component").distinct(), "left")
+    bits = scratch.keep(
+        sets.join(left, "id", "left_semi")
+        .select("id", "items")
+        .mapInArrow(_sketch_bits, "id long, " + ", ".join(f"{c} long" for c in _BIT_COLUMNS)),
+        "bits",
+    )
+    # Two half keys in common make a table in common; a pair is met under its first one only.
+    held = nodes.select("id", "size", "keys").join(left, "id").join(bits, "id").withColumn("key", F.explode("keys"))
+
+    def side(name: str) -> DataFrame:
+        return held.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("id", "size", "component", "keys", *_BIT_COLUMNS)))
+
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _BIT_COLUMNS), F.lit(0))
+    common = F.array_intersect("keys_a", "keys_b")
+    across = side("a").join(side("b"), "key").where(
+        (F.col("id_a") < F.col("id_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+        & (differ <= most_different_bits(percent))
+        & (F.size(common) > 1)
+        & (F.get(common, F.lit(0)) == F.col("key"))
+    )
+    across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     rounds.confirm(across.select("a", "b").distinct(), "c")
 
     owners = rounds.labelled(nodes.select("set_hash", "id"), "id", "component").select("set_hash", "component")
