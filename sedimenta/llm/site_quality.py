@@ -76,21 +76,33 @@ def features(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
 
 
 def _rows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each text's feature numbers and values, of length one together."""
+    """Each text's feature numbers and how often it has them."""
     words, plain, shape = features(texts)
     for a, b in zip(words.first[:-1], words.first[1:], strict=True):
-        number, count = np.unique(np.concatenate([plain[a:b], shape[a:b]]), return_counts=True)
-        value = np.log1p(count)
-        yield number, value / max(np.sqrt((value * value).sum()), 1e-12)
+        yield np.unique(np.concatenate([plain[a:b], shape[a:b]]), return_counts=True)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, penalty: float = 1e-4, steps: int = 120) -> tuple[np.ndarray, float]:
+def _scales(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Inverse document frequencies; 0 for features of fewer than three documents."""
+    found = np.zeros(_WIDTH)
+    for number, _ in rows:
+        found[number] += 1
+    return np.where(found >= 3, np.log(max(len(rows), 1) / np.maximum(found, 1)), 0.0)
+
+
+def _valued(row: tuple[np.ndarray, np.ndarray], scales: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled values, of length one together."""
+    value = np.log1p(row[1]) * scales[row[0]]
+    return row[0], value / max(np.sqrt((value * value).sum()), 1e-12)
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, penalty: float = 0.1, steps: int = 120) -> tuple[np.ndarray, float]:
     """Logistic regression by Adam over all rows. Returns weights and the log odds of good."""
     number = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, dtype=np.int64)
     value = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     share = good.mean() if len(good) else 0.5
-    if not 0 < share < 1:
+    if not len(good) or not 0 < share < 1:
         return np.zeros(_WIDTH), 0.0
     prior = float(np.log(share / (1 - share)))
     weights, mean, spread, bias, bias_mean, bias_spread = np.zeros(_WIDTH), np.zeros(_WIDTH), np.zeros(_WIDTH), prior, 0.0, 0.0
@@ -110,11 +122,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, penalty: fl
 
 def _evidence(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, prior = shared.value
+        weights, prior, scales = shared.value
         bias = weights[_WIDTH] if len(weights) > _WIDTH else 0.0
         for part in slices(batches):
             odds = []
-            for number, value in _rows(column(part, "text")):
+            for row in _rows(column(part, "text")):
+                number, value = _valued(row, scales)
                 odds.append(float((weights[number] * value).sum() + bias - prior) if len(number) else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id"), column(part, "host"), column(part, "path"), pa.array(odds, pa.float64())],
@@ -171,7 +184,7 @@ def judge_quality(
                     column(part, "doc_id"),
                     column(part, "good"),
                     pa.array([r[0].astype("<i4").tobytes() for r in rows], pa.binary()),
-                    pa.array([r[1].astype("<f4").tobytes() for r in rows], pa.binary()),
+                    pa.array([r[1].astype("<i4").tobytes() for r in rows], pa.binary()),
                 ],
                 names=["doc_id", "good", "number", "value"],
             )
@@ -180,9 +193,11 @@ def judge_quality(
     packed = drawn.mapInArrow(pack, "doc_id long, good int, number binary, value binary").orderBy("doc_id", "good").limit(2 * sample)
     rows, answers = [], []
     for r in packed.toLocalIterator():
-        rows.append((np.frombuffer(r["number"], "<i4").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(float)))
+        rows.append((np.frombuffer(r["number"], "<i4").astype(np.int64), np.frombuffer(r["value"], "<i4")))
         answers.append(r["good"])
-    model = spark.sparkContext.broadcast(fit(rows, np.array(answers, dtype=float)))
+    scales = _scales(rows)
+    weights, prior = fit([_valued(row, scales) for row in rows], np.array(answers, dtype=float))
+    model = spark.sparkContext.broadcast((weights, prior, scales))
 
     labelled = source.select("doc_id", "host", "path").join(known, "doc_id")
     paths = scratch.keep(labelled.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "paths")
