@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +13,9 @@ from sedimenta.sources import files
 _DOCUMENT_ROWS = 5000
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``. Only a local session, where
-    driver and tasks are one process, may do without and gets a temporary folder."""
+    """The shared folder named in ``spark.checkpoint.dir``, or one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.gettempdir()
+    return (configured or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -18,8 +18,8 @@ def date_or_blank(col: ColumnOrName) -> Column:
 
 
 def timestamp_or_blank(col: ColumnOrName, pattern: str = TIMESTAMP_PATTERN) -> Column:
-    """Formatted timestamp, or '' for NULL."""
-    return F.coalesce(F.date_format(as_column(col), pattern), F.lit(""))
+    """Formatted timestamp, or '' for NULL and for text that is none."""
+    return F.coalesce(F.date_format(as_column(col).try_cast("timestamp"), pattern), F.lit(""))
 
 
 def _reference_day(as_of: ColumnOrName | dt.date | None) -> Column:

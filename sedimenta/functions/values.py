@@ -26,8 +26,11 @@ def blank_if_null(col: ColumnOrName) -> Column:
 
 
 def to_bigint(col: ColumnOrName) -> Column:
-    """Whole number; fractions are cut off towards zero, unreadable text gives NULL."""
-    return as_column(col).try_cast("bigint")
+    """Whole number; fractions are cut off towards zero, in text like '12.0' or '1e3' too.
+    Unreadable text gives NULL."""
+    value = as_column(col)
+    written = value.cast("string").try_cast("decimal(38,18)").try_cast("bigint")
+    return F.coalesce(value.try_cast("bigint"), written)
 
 
 def money(col: ColumnOrName) -> Column:

@@ -100,9 +100,7 @@ class PartitionedStore:
             snapshots.adopt_snapshot(self.spark, arrived, path)
             return
         batch = self.spark.read.parquet(arrived)
-        large = files.total_bytes(self.spark, arrived) > snapshots.broadcast_limit(self.spark)
-        form = "outer" if large else "probe"
-        snapshots.upsert(batch, path, on, source_unique=True, form=form)
+        snapshots.upsert(batch, path, on, source_unique=True, form="outer")
         snapshots.expire_snapshots(self.spark, path, self.keep)
 
     def set_matched(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -21,7 +22,16 @@ def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator
 
 
 def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
-    """Any Spark SQL text, with ``frames`` visible under their names. The returned frame is
-    resolved already and outlives the views."""
-    with temp_views(spark, frames):
+    """Any Spark SQL query, with ``frames`` visible under their names. The returned frame is
+    resolved already and outlives the views.
+
+    Temp views belong to the session, so each frame is registered under a name of its own and
+    bound to the name in the text by a CTE: runs in other threads, and views of the caller
+    with the same name, are not touched.
+    """
+    if not frames:
         return spark.sql(text)
+    own = {f"frame_{uuid.uuid4().hex}": frame for frame in frames.values()}
+    bound = ", ".join(f"`{name}` as (select * from {view})" for name, view in zip(frames, own, strict=True))
+    with temp_views(spark, own):
+        return spark.sql(f"with {bound} (\n{text.rstrip().removesuffix(';')}\n)")

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.operators.audit import PROCESSED, normalize_temporal, only_unprocessed, with_audit
+from sedimenta.operators.audit import CREATED, PROCESSED, normalize_temporal, only_unprocessed, with_audit
 from sedimenta.operators.dedupe import dedupe
 from sedimenta.plans.partitioned import PartitionedStore
 from sedimenta.plans.spec import GoldSpec, LakeLayout, StepResult, StepSpec, TableSpec
@@ -30,22 +30,30 @@ log = logging.getLogger(__name__)
 
 
 def apply_step(df: DataFrame, step: StepSpec, as_of: AsOf = None) -> DataFrame:
-    """Transform, type clean-up, audit columns, one row per key."""
-    shaped = shape_step(df, step, as_of)
+    """Transform, type clean-up, audit columns, one row per key.
+
+    With ``merge_key`` the newest version of a record stays, by the ``creationDate`` of the
+    layer below, where the transform passes it on; ``order_by`` decides among equals.
+    """
     if step.merge_key is not None:
-        return dedupe(shaped, step.merge_key, step.order_by)
+        versions = normalize_temporal(_transformed(df, step))
+        newest = [F.col(CREATED).desc_nulls_last()] if CREATED in versions.columns else []
+        return with_audit(dedupe(versions, step.merge_key, [*newest, *step.order_by]), as_of)
+    shaped = shape_step(df, step, as_of)
     return shaped if step.distinct else dedupe(shaped, step.key, step.order_by)
 
 
 def shape_step(df: DataFrame, step: StepSpec, as_of: AsOf = None) -> DataFrame:
     """``apply_step`` before the dedupe."""
+    return with_audit(normalize_temporal(_transformed(df, step)), as_of)
+
+
+def _transformed(df: DataFrame, step: StepSpec) -> DataFrame:
     if callable(step.transform):
-        shaped = step.transform(df)
-    elif step.view is None:
+        return step.transform(df)
+    if step.view is None:
         raise ValueError("a step given as SQL text needs the name of its view")
-    else:
-        shaped = run_sql(df.sparkSession, step.transform, **{step.view: df})
-    return with_audit(normalize_temporal(shaped), as_of)
+    return run_sql(df.sparkSession, step.transform, **{step.view: df})
 
 
 def _reported(layer: str) -> Callable:

@@ -30,7 +30,6 @@ from sedimenta.sources import files
 
 _VERSION = re.compile(r"v(\d{6,})")
 _STAGING = "_staging"
-_UNITS = {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 
 
 @dataclass(frozen=True)
@@ -117,13 +116,6 @@ def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, int
         files.delete(df.sparkSession, goal)
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """Bytes up to which the optimizer broadcasts a side on its own; 0 if it never does."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]?)b?", text).groups()
-    return max(0, int(number) << _UNITS[unit])
-
-
 def upsert(
     source: DataFrame,
     path: str,
@@ -193,11 +185,14 @@ def create_or_upsert(
     on: KeyColumn | Sequence[KeyColumn],
     *,
     source_unique: bool = False,
+    form: str | None = None,
 ) -> SnapshotInfo | None:
     """Create the table from ``source``, or upsert into it; None if there were no rows.
 
-    A table made by this alone from sources with distinct keys holds each key once, so with
-    ``source_unique`` a source too large to broadcast is merged in the ``outer`` form.
+    ``form`` is that of the merge, whatever the size of the batch: ``outer`` (the default
+    with ``source_unique``: a table made by this alone then holds each key once, so no key
+    of it is hot) or ``probe`` (the default otherwise, and the one for a small source or a
+    table that holds a key very often).
     """
     spark = source.sparkSession
     if not table_exists(spark, path):
@@ -206,12 +201,11 @@ def create_or_upsert(
             return info
         files.delete(spark, info.path)
         return None
-    with staged(source, path) as (batch, rows, size):
+    with staged(source, path) as (batch, rows, _):
         if not rows:
             return None
-        large = size > broadcast_limit(spark)
-        form = "outer" if source_unique and large else "probe"
-        return upsert(batch, path, on, source_unique=source_unique, form=form)
+        chosen = form or ("outer" if source_unique else "probe")
+        return upsert(batch, path, on, source_unique=source_unique, form=chosen)
 
 
 def compact_table(

@@ -149,3 +149,18 @@ def test_functions_hold_without_ansi(spark):
         assert rows(got) == [("", None, "", None)]
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_numbers_and_timestamps_in_text(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = ["12", "12.0", "-1.9", "1e3", "", "x", None, "1e30"]
+        frame = spark.createDataFrame([(t,) for t in texts], "t string")
+        assert [r[0] for r in frame.select(to_bigint("t")).collect()] == [12, 12, -1, 1000, None, None, None, None]
+        times = spark.createDataFrame([("2020-01-02 03:04:05",), ("",), ("no",), (None,)], "t string")
+        got = [r[0] for r in times.select(timestamp_or_blank("t")).collect()]
+        assert got[0].startswith("2020-01-02") and got[1:] == ["", "", ""]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

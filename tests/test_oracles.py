@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from harness import oracles as harness_oracles
+from harness import queries as harness_queries
 from harness.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,7 +30,7 @@ def test_preview_gives_five_rows_of_the_table(spark):
 
 
 def test_only_the_preview_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"preview_limit"}
+    assert set(harness_queries.QUERIES) - set(harness_oracles.ORACLES) == {"preview_limit"}
     assert set(ORACLES) <= set(QUERIES)
 
 

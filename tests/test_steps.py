@@ -235,3 +235,25 @@ def test_coupon_grain_equals_first_row_of_item_grain(spark):
         ["codigo_item", "valor_unitario", "quantidade", "tipo_desconto"])
     assert rows(retail.gold_vendas(silver)) == rows(after)
     assert after.count() == 2
+
+
+def test_one_view_name_in_many_threads(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark.range(1).createOrReplaceTempView("table_tmp")
+    frames = {i: spark.createDataFrame([(i,)], "n int") for i in range(8)}
+
+    def run(i):
+        return [run_sql(spark, "-- a note\nselect n from table_tmp;", table_tmp=frames[i]).first()[0] for _ in range(5)]
+
+    with ThreadPoolExecutor(8) as pool:
+        assert list(pool.map(run, frames)) == [[i] * 5 for i in frames]
+    assert spark.table("table_tmp").columns == ["id"]
+    spark.catalog.dropTempView("table_tmp")
+
+
+def test_merge_key_keeps_the_newest_version(spark):
+    step = StepSpec(lambda df: df.select("k", "v", "creationDate"), merge_key=["k"])
+    rows = [(1, 1, "2020-01-01"), (1, 5, "2020-01-03"), (1, 3, "2020-01-02")]
+    frame = spark.createDataFrame(rows, "k int, v int, d string").selectExpr("k", "v", "timestamp(d) as creationDate")
+    assert [r.v for r in apply_step(frame, step).collect()] == [5]
