@@ -1,3 +1,97 @@
 """DuckDB SQL for the queries that SQL can express. Others are tested against brute force."""
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_REPEATS = rf"""
+with words as (
+  select doc_id, {_WORDS} as w from documents
+), windows as (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as window_text
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words where len(w) >= 13)
+), first as (
+  select window_text, min(doc_id) as least from windows group by window_text
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 13)) as i
+  from windows join first using (window_text) where least < doc_id
+), places as (
+  select doc_id, w, unnest(range(1, len(w) + 1)) as i from words
+), left_over as (
+  select p.doc_id, count(*) as n, count(g.i) as n_removed,
+    coalesce(string_agg(p.w[p.i], ' ' order by p.i) filter (where g.i is null), '') as kept
+  from places p left join gone g on p.doc_id = g.doc_id and p.i = g.i group by p.doc_id
+)
+select d.doc_id, coalesce(l.n, 0)::bigint as n_words, coalesce(l.n_removed, 0)::bigint as n_removed,
+  sha256(coalesce(l.kept, '')) as kept_sha256
+from words d left join left_over l using (doc_id)
+"""
+
+_LEAK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LEAKS = rf"""
+with words as (
+  select doc_id, regexp_extract_all({_LOWER}, '{_LEAK_WORD}') as w from documents
+), items as (
+  select item_id::varchar as item, regexp_extract_all({_LOWER}, '{_LEAK_WORD}') as w from benchmark
+), windows as (
+  select distinct item, least(len(w), 10) as size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as window_text
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)
+), sizes as (
+  select distinct size from windows
+), found as (
+  select doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') as window_text
+  from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from words, sizes where len(w) >= size)
+), met as (
+  select doc_id, i, size, item from found join windows using (size, window_text)
+), hits as (
+  select doc_id, count(distinct place) as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as place from met) group by doc_id
+), owners as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, item from met) group by doc_id
+)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_hit,
+  coalesce(o.n_items, 0)::bigint as n_items, sha256(coalesce(o.ids, '')) as items_sha256,
+  coalesce(h.n_hit, 0) > 0 as contaminated
+from words w left join hits h using (doc_id) left join owners o using (doc_id)
+"""
+
+_MIX = rf"""
+with docs as (
+  select doc_id, source, len({_WORDS})::bigint as size from documents
+), sources as (
+  select source, sum(size) as source_size, row_number() over (order by source nulls last) as rank
+  from docs group by source
+), weighted as (
+  select *, (rank - 1) % 3 + 1 as weight, sum(source_size) over () as total from sources
+), filled as (
+  select *, 3 * source_size * sum(weight) over (order by source_size / weight, rank rows between current row and unbounded following)
+    <= weight * (total - coalesce(sum(3 * source_size) over (order by source_size / weight, rank rows between unbounded preceding and 1 preceding), 0)) as stops
+  from weighted
+), targets as (
+  select source, rank, source_size, total, case when stops then (3 * source_size)::double else
+    (weight * (total - coalesce(sum(3 * source_size) filter (where stops) over (), 0)))::double
+      / (sum(weight) filter (where not stops) over ())::double end as target
+  from filled
+), placed as (
+  select d.doc_id, d.size, t.* exclude (source) from docs d join targets t on d.source is not distinct from t.source
+), queued as (
+  select *, md5(doc_id::varchar) as digest,
+    sum(size) over (partition by rank order by md5(doc_id::varchar), doc_id rows unbounded preceding) as upto
+  from placed where size > 0
+), timed as (
+  select *, (e * source_size + upto)::double / target as finish from queued, range(3) as passes(e)
+), taken as (
+  select doc_id, size, total, sum(size) over (order by finish, rank, digest, doc_id rows unbounded preceding) as spent from timed
+), passes as (
+  select doc_id, count(*) as n from taken where spent <= total group by doc_id
+)
+select p.doc_id, p.size, p.source_size::bigint as source_size, p.target, (coalesce(n, 0) * p.size)::bigint as taken
+from placed p left join passes using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": _REPEATS,
+    "op5_source_mix": _MIX,
+    "op8_decontaminate": _LEAKS,
+}
