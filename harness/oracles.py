@@ -228,6 +228,13 @@ _UPSERTED_OR_DELETED = f"""
     select * from source
     where o_totalprice <= 500000 or o_orderkey not in (select o_orderkey from target)"""
 
+_CHANGED_SALES = f"""
+    select * replace (
+      case n_id_vd_fil % 3 when 0 then n_vlr_tot_vd * 2 when 1 then 0.0 else n_vlr_tot_vd end
+        as n_vlr_tot_vd,
+      case n_id_vd_fil % 3 when 0 then 'Z1' when 1 then 'A1' else v_cli_cod end as v_cli_cod)
+    from ({LANDING_SQL["vendas"]})"""
+
 ORACLES: dict[str, str] = {
     "read_parquet": "select * from lineitem",
     "read_json_multiline": _from_landing("clientes_opt", "b_call, b_email, b_push, b_sms, v_id_cli"),
@@ -241,6 +248,43 @@ ORACLES: dict[str, str] = {
     "preview_all_string": "select "
     + ", ".join(f"cast({c} as varchar) as {c}" for c in _ORDER_COLUMNS)
     + " from orders",
+    "preview_limit": "select "
+    + ", ".join(f"cast({c} as varchar) as {c}" for c in _ORDER_COLUMNS)
+    + " from orders order by orders.o_orderkey limit 5",
+    "cast_bigint_text": """
+        select l_orderkey, l_linenumber,
+          case l_orderkey % 5 when 0 then l_partkey || '' when 1 then l_partkey || '.0'
+            when 2 then '-' || l_partkey || '.9' when 3 then l_partkey || 'e3'
+            else l_partkey || 'x' end as written,
+          cast(case l_orderkey % 5 when 2 then -l_partkey when 3 then l_partkey * 1000
+            when 4 then null else l_partkey end as bigint) as whole from lineitem""",
+    "timestamp_text_or_blank": """
+        with days as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders)
+        select o_orderkey,
+          case o_orderkey % 4 when 0 then day || ' 10:20:30' when 1 then day when 2 then ''
+            else 'x' || day end as written,
+          case o_orderkey % 4 when 0 then day || ' 10:20:30' when 1 then day || ' 00:00:00'
+            else '' end as moment from days""",
+    "changed_records_silver": f"""
+        with vendas_tmp as ({_CHANGED_SALES}) select {_SILVER["vendas"]} from vendas_tmp""",
+    "full_run_sql_steps": f"""
+        with {_landing("clientes_opt", "enderecos_clientes", "pedido_venda")}
+        select 'clientes_opt' as name, cast(b_call as varchar) as first,
+          cast(b_email as varchar) as second from (select distinct * from clientes_opt_tmp)
+        union all
+        select 'enderecos_clientes', v_id_cli, cast(n_sq_end as varchar)
+        from (select distinct * from enderecos_clientes_tmp)
+        union all
+        select 'pedido_venda', cast(n_id_fil as varchar), cast(n_id_vd_fil as varchar)
+        from (select distinct * from pedido_venda_tmp)""",
+    "merge_unmatched_copies": """
+        select o_orderkey, o_custkey, o_totalprice from orders
+        union all
+        select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 2 = 1""",
+    "merge_outer_checked": """
+        select o_orderkey, case when o_orderkey % 3 = 1 then o_custkey else -o_custkey end
+          as o_custkey, o_totalprice from orders""",
+    "archived_landing": _bronze("vendas"),
     "cast_bigint_trunc": """
         select l_orderkey, l_extendedprice, cast(trunc(l_extendedprice) as bigint) as whole_price,
           cast(trunc(l_quantity) as bigint) as whole_quantity,
@@ -282,7 +326,9 @@ ORACLES: dict[str, str] = {
     "flag_to_label": _from_landing(
         "clientes_opt",
         """v_id_cli, case when b_email then 'SIM' when not b_email then 'NÃO' else '' end as email,
-           case when b_call then 'SIM' when not b_call then 'NÃO' else '' end as call""",
+           case when b_call then 'SIM' when not b_call then 'NÃO' else '' end as call,
+           case when b_push then 'SIM' when not b_push then 'NÃO' else '' end as push,
+           case when b_sms then 'SIM' when not b_sms then 'NÃO' else '' end as sms""",
     ),
     "classify_discount": _from_landing(
         "itens_vendas",
@@ -309,12 +355,11 @@ ORACLES: dict[str, str] = {
         "clientes",
         "v_id_cli, cast(date_sub('year', d_dt_nasc, date '2026-12-01') as integer) as age",
     ),
-    "row_key_compat": _from_landing(
-        "pedidos",
-        "n_id_pdd, v_cnl_orig_pdd, v_uf_entr_pdd, v_lc_ent_pdd, "
-        + _compat_key(["n_id_pdd", "v_cnl_orig_pdd", "v_uf_entr_pdd", "v_lc_ent_pdd"])
-        + " as hash_id",
-    ),
+    "row_key_compat": f"""
+        with {_landing("pedidos")}, priced as (
+          select * replace (cast(n_vlr_tot_pdd as decimal(38,2)) as n_vlr_tot_pdd)
+          from pedidos_tmp)
+        select *, {_compat_key(_COLUMNS["pedidos"].split())} as hash_id from priced""",
     "row_key_all_columns": f"select *, {_strict_key(_LINE_COLUMNS)} as hash_id from lineitem",
     "row_key_business": _from_landing(
         "pedidos", f"n_id_pdd, {_compat_key(['n_id_pdd'])} as hash_id"
@@ -406,8 +451,8 @@ ORACLES: dict[str, str] = {
     "step_transform": f"""
         with {_landing("vendas")}, ranked as (
           select n_id_fil, n_id_vd_fil, d_dt_vd, n_vlr_tot_vd, row_number() over (
-            partition by n_id_fil order by n_vlr_tot_vd, n_id_vd_fil, d_dt_vd) as place
-          from vendas_tmp where n_vlr_tot_vd > 1000)
+            partition by n_id_fil, n_id_vd_fil order by n_vlr_tot_vd, d_dt_vd) as place
+          from vendas_tmp)
         select * exclude (place), {_AUDIT} from ranked where place = 1""",
     "gold_vendas_items": f"with {_silver_tables(_SALES, False)} {_GOLD_VENDAS_ROWS}",
     "gold_vendas_concat": f"""
@@ -474,3 +519,22 @@ ORACLES: dict[str, str] = {
 for _table in LANDING_SQL:
     ORACLES[f"bronze_{_table}"] = _bronze(_table)
     ORACLES[f"silver_{_table}"] = _silver(_table)
+    ORACLES[f"stored_bronze_{_table}"] = _bronze(
+        _table, f'true as processed, {_CREATED} as "creationDate"'
+    )
+    ORACLES[f"stored_silver_{_table}"] = _silver(_table)
+# An item that a sale holds twice is one record; both were taken at once, so the first by its
+# other columns stays.
+_ITEMS = "(select distinct * from itens_vendas_tmp) as landing_rows"
+ORACLES["changed_records_gold"] = (
+    _gold_vendas(distinct=True)
+    .replace(LANDING_SQL["vendas"], _CHANGED_SALES)
+    .replace(
+        _ITEMS,
+        _ITEMS
+        + """ qualify row_number() over (
+            partition by codigo_filial, id_venda_filial, codigo_item_venda
+            order by com_receita_eletronica, tipo_desconto, valor_pis_item, valor_final_item,
+              valor_desconto_item, quantidade_itens) = 1""",
+    )
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,12 +141,43 @@ def preview_all_string(spark, sf_dir):
 
 @query
 def preview_limit(spark, sf_dir):
-    return preview(table(spark, sf_dir, "orders"), n=5)
+    return preview(table(spark, sf_dir, "orders").orderBy("o_orderkey"), n=5)
 
 
 # Columns
 
 
+@query
+def cast_bigint_text(spark, sf_dir):
+    """Numbers in text: whole ones, with a fraction, with an exponent, and no numbers."""
+    part = F.col("l_partkey").cast("string")
+    turn = F.col("l_orderkey") % 5
+    written = (
+        F.when(turn == 0, part)
+        .when(turn == 1, F.concat(part, F.lit(".0")))
+        .when(turn == 2, F.concat(F.lit("-"), part, F.lit(".9")))
+        .when(turn == 3, F.concat(part, F.lit("e3")))
+        .otherwise(F.concat(part, F.lit("x")))
+    )
+    lines = table(spark, sf_dir, "lineitem").withColumn("written", written)
+    return lines.select("l_orderkey", "l_linenumber", "written", to_bigint("written").alias("whole"))
+
+
+@query
+def timestamp_text_or_blank(spark, sf_dir):
+    """Times in text: with a time, as a date only, empty, and no times."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    turn = F.col("o_orderkey") % 4
+    written = (
+        F.when(turn == 0, F.concat(day, F.lit(" 10:20:30")))
+        .when(turn == 1, day)
+        .when(turn == 2, F.lit(""))
+        .otherwise(F.concat(F.lit("x"), day))
+    )
+    orders = table(spark, sf_dir, "orders").withColumn("written", written)
+    return orders.select("o_orderkey", "written", timestamp_or_blank("written").alias("moment"))
+
+
 @query
 def cast_bigint_trunc(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
@@ -227,6 +258,8 @@ def flag_to_label(spark, sf_dir):
         "v_id_cli",
         flag_label("b_email").alias("email"),
         flag_label("b_call").alias("call"),
+        flag_label("b_push").alias("push"),
+        flag_label("b_sms").alias("sms"),
     )
 
 
@@ -301,11 +334,9 @@ def age_calendar_query(spark, sf_dir):
 
 @query
 def row_key_compat(spark, sf_dir):
-    columns = ["n_id_pdd", "v_cnl_orig_pdd", "v_uf_entr_pdd", "v_lc_ent_pdd"]
-    key = row_key(columns, mode="compat")
-    return landing(spark, sf_dir, "pedidos").select(
-        *columns, F.regexp_replace(key, r"\r\n", "").alias("hash_id")
-    )
+    orders = landing(spark, sf_dir, "pedidos").withColumn("n_vlr_tot_pdd", money("n_vlr_tot_pdd"))
+    key = row_key(retail.LANDING_COLUMNS["pedidos"], mode="compat")
+    return orders.select("*", F.regexp_replace(key, r"\r\n", "").alias("hash_id"))
 
 
 @query
@@ -546,6 +577,20 @@ for _name in retail.LANDING_COLUMNS:
     QUERIES[f"silver_{_name}"] = partial(_silver_step, name=_name)
 
 
+def _stored(spark, sf_dir, layer: str, name: str) -> DataFrame:
+    layout = new_lake(spark, f"stored-{name}")
+    write_landing(spark, sf_dir, layout, [name])
+    store, spec = SnapshotStore(spark, layout), _spec(name)
+    run_bronze(store, spec, layout, AS_OF)
+    run_silver(store, spec, AS_OF)
+    return store.read(layer, name)
+
+
+for _name in retail.LANDING_COLUMNS:
+    QUERIES[f"stored_bronze_{_name}"] = partial(_stored, layer="bronze", name=_name)
+    QUERIES[f"stored_silver_{_name}"] = partial(_stored, layer="silver", name=_name)
+
+
 @query
 def silver_clientes_with_age(spark, sf_dir):
     return retail.silver_clientes_idade(landing(spark, sf_dir, "clientes"), AS_OF_DAY)
@@ -556,9 +601,9 @@ def step_transform(spark, sf_dir):
     step = StepSpec(
         transform="""
             select n_id_fil, n_id_vd_fil, d_dt_vd, n_vlr_tot_vd
-            from vendas_tmp where n_vlr_tot_vd > 1000""",
+            from vendas_tmp""",
         view="vendas_tmp",
-        key=("n_id_fil",),
+        key=("n_id_fil", "n_id_vd_fil"),
         order_by=("n_vlr_tot_vd",),
     )
     return apply_step(landing(spark, sf_dir, "vendas"), step, AS_OF)
@@ -647,6 +692,98 @@ def bronze_marked_processed(spark, sf_dir):
     return store.read("bronze", "pedidos")
 
 
+def _run_with_changes(spark, sf_dir, name: str, incremental: bool) -> SnapshotStore:
+    """Sales taken twice; in between, two in three of them get a total and a client that sort
+    behind or before the first ones, and the files of the first landing are replaced."""
+    layout = new_lake(spark, name)
+    store = SnapshotStore(spark, layout)
+    golds = [g for g in retail.gold_specs(AS_OF_DAY) if g.name == "vendas"]
+    tables = [s for s in retail.table_specs(newest=True) if s.name in _SALES]
+    write_landing(spark, sf_dir, layout, _SALES)
+    run_lake(store, layout, tables, golds, as_of=AS_OF, incremental=incremental)
+    turn = F.col("n_id_vd_fil") % 3
+    changed = landing(spark, sf_dir, "vendas").withColumns(
+        {
+            "n_vlr_tot_vd": F.when(turn == 0, F.col("n_vlr_tot_vd") * 2)
+            .when(turn == 1, F.lit(0.0))
+            .otherwise(F.col("n_vlr_tot_vd")),
+            "v_cli_cod": F.when(turn == 0, F.lit("Z1"))
+            .when(turn == 1, F.lit("A1"))
+            .otherwise(F.col("v_cli_cod")),
+        }
+    )
+    write_files(changed.where(turn != 2), layout.path("transient", "vendas"))
+    run_lake(store, layout, tables, golds, as_of="2026-12-02 00:00:00", incremental=incremental)
+    return store
+
+
+@query
+def changed_records_silver(spark, sf_dir):
+    store = _run_with_changes(spark, sf_dir, "changed-silver", incremental=False)
+    return store.read("silver", "vendas").drop("hash_id", "processed", "creationDate")
+
+
+@query
+def changed_records_gold(spark, sf_dir):
+    return _run_with_changes(spark, sf_dir, "changed-gold", incremental=True).read("gold", "vendas")
+
+
+@query
+def full_run_sql_steps(spark, sf_dir):
+    """All seven tables in threads, each bronze step SQL over a view of the same name."""
+    layout = new_lake(spark, "sql-steps")
+    write_landing(spark, sf_dir, layout, list(retail.LANDING_COLUMNS))
+    store = SnapshotStore(spark, layout)
+    tables = []
+    for spec in retail.table_specs():
+        names = ", ".join(retail.LANDING_COLUMNS[spec.name])
+        text = f"select distinct *, sha2(concat_ws('|', {names}), 256) as hash_id from table_tmp"
+        bronze = StepSpec(text, view="table_tmp")
+        silver = StepSpec("select *, 1 as taken from table_tmp", view="table_tmp")
+        tables.append(replace(spec, bronze=bronze, silver=silver))
+    run_lake(store, layout, tables, [], as_of=AS_OF, threads=7)
+    counts = [
+        store.read("silver", n)
+        .select(*[F.col(c).cast("string") for c in retail.LANDING_COLUMNS[n][:2]])
+        .toDF("first", "second")
+        .select(F.lit(n).alias("name"), "first", "second")
+        for n in retail.LANDING_COLUMNS
+        if n in ("clientes_opt", "enderecos_clientes", "pedido_venda")
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@query
+def merge_unmatched_copies(spark, sf_dir):
+    """A source that repeats keys the target does not hold: all of its rows are inserted."""
+    sides = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    target = sides.where("o_orderkey % 2 = 0")
+    odd = sides.where("o_orderkey % 2 = 1")
+    return merge_frames(target, odd.unionAll(odd), "o_orderkey")
+
+
+@query
+def merge_outer_checked(spark, sf_dir):
+    """One full outer join for a source not known to have distinct keys."""
+    sides = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    target = sides.where("o_orderkey % 3 <> 0")
+    source = sides.where("o_orderkey % 3 <> 1").withColumn("o_custkey", -F.col("o_custkey"))
+    return merge_frames(target, source, "o_orderkey", form="outer")
+
+
+@query
+def archived_landing(spark, sf_dir):
+    """Landing files moved away once taken: the second run finds none, and bronze stays."""
+    layout = new_lake(spark, "archived")
+    write_landing(spark, sf_dir, layout, ["vendas"])
+    store, spec = SnapshotStore(spark, layout), _spec("vendas")
+    for day in (AS_OF, "2026-12-02 00:00:00"):
+        run_bronze(store, spec, layout, day, archive=True)
+    archived = read_landing(spark, layout.archive("vendas"))
+    keys = archived.select("n_id_fil", "n_id_vd_fil").distinct()
+    return store.read("bronze", "vendas").join(keys, ["n_id_fil", "n_id_vd_fil"], "left_semi")
+
+
 @query
 def rerun_incremental(spark, sf_dir):
     """The same landing files taken twice, the second time for new rows only."""

@@ -15,7 +15,8 @@ costs a second scan of the target, of the key columns only.
 
 ``outer`` is one FULL OUTER JOIN: each side is read, shuffled and sorted once, which is two to
 three times faster where neither side is small. Spark can neither broadcast nor split such a
-join, so it is for tables that hold each key once. NULL keys are led around the join.
+join, so it is for tables that hold each key once. NULL keys are led around the join. A source not
+known to have distinct keys is checked by the partitioning the join needs anyway.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
@@ -33,6 +34,7 @@ _HIT = "__hit"
 _HELD = "__held"
 _COPIES = "__copies"
 _ROW = "__row"
+_PLACE = "__place"
 
 
 class KeyPair(NamedTuple):
@@ -74,11 +76,11 @@ def merge_frames(
     A NULL key matches nothing, so such source rows are inserted each time.
 
     If several source rows match one target row the query fails, as the outcome would be
-    arbitrary. ``source_unique`` leaves that check out for sources with distinct keys; the
-    ``outer`` form takes only such.
+    arbitrary. ``source_unique`` leaves that check out for sources with distinct keys. The
+    ``outer`` form fails on any key that the source repeats, matched or not.
     """
-    if form not in ("probe", "outer") or (form == "outer" and not source_unique):
-        raise ValueError("form must be 'probe', or 'outer' for a source with distinct keys")
+    if form not in ("probe", "outer"):
+        raise ValueError("form must be 'probe' or 'outer'")
     pairs = key_pairs(on)
     fields = _resolve(target, source, pairs)
     set_values = None if isinstance(update, str) else _checked_set(target, update)
@@ -92,13 +94,15 @@ def merge_frames(
 
     if form == "outer":
         whole = target.where(_all_present(pairs, "target")).withColumn(_HELD, F.lit(True))
-        probe = _probe(source.where(_all_present(pairs, "source")), pairs, unique=True)
+        keyed = source.where(_all_present(pairs, "source"))
+        keyed = keyed if source_unique else _refuse_repeats(keyed, pairs)
+        probe = _probe(keyed, pairs, unique=True)
         how = "full_outer"
     else:
         whole, how = target, "left"
         probe = _probe(source, pairs, source_unique)
     joined = whole.alias("target").join(probe.alias("source"), _matches(pairs), how)
-    if not source_unique and (update != "none" or delete_when is not None):
+    if form == "probe" and not source_unique and (update != "none" or delete_when is not None):
         joined = joined.where(_single_match())
     if delete_when is not None:
         condition = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
@@ -200,6 +204,27 @@ def _single_match() -> Column:
     return F.when(F.col(f"source.{_HIT}") > 1, ambiguous.cast("boolean")).otherwise(F.lit(True))
 
 
+def refuse_copies(source: DataFrame, on: KeyColumn | Sequence[KeyColumn]) -> DataFrame:
+    """``source`` itself; running it fails if two of its rows share a key. A key with a NULL in
+    it equals none, as in a merge."""
+    pairs = key_pairs(on)
+    present = _all_present(pairs, "source")
+    return _refuse_repeats(source.where(present), pairs).unionByName(source.where(~present))
+
+
+def _refuse_repeats(keyed: DataFrame, pairs: Sequence[KeyPair]) -> DataFrame:
+    """Each map task passes on two rows of a key at most, so a key held by very many rows is
+    told by a few of them and never gathers in one task."""
+    window = Window.partitionBy(*[F.col(_q(p.source)) for p in pairs]).orderBy(F.lit(1))
+    repeated = F.raise_error(F.lit("several source rows share one key"))
+    return (
+        keyed.withColumn(_PLACE, F.row_number().over(window))
+        .where(F.col(_PLACE) <= 2)
+        .where(F.when(F.col(_PLACE) > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+        .drop(_PLACE)
+    )
+
+
 def _hit() -> Column:
     return F.col(f"source.{_HIT}").isNotNull()
 

@@ -19,8 +19,9 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sedimenta.operators.merge import key_pairs
+from sedimenta.operators.merge import key_pairs, refuse_copies
 from sedimenta.plans.spec import LakeLayout
 from sedimenta.plans.stores import Keys, Saved, SnapshotStore, Values
 from sedimenta.sources import files, snapshots
@@ -31,13 +32,16 @@ _PART = "lake_part"
 @dataclass(frozen=True)
 class PartitionedStore:
     """Tables named in ``by`` are split by the given expression over their columns; others
-    are kept as in ``SnapshotStore``. ``threads`` partitions are merged at a time."""
+    are kept as in ``SnapshotStore``. ``threads`` partitions are merged at a time. ``checked``
+    reads the table's keys, and no other column, to refuse a batch with a key that would move
+    to another partition; leave it out where the key is made from the partition's column."""
 
     spark: SparkSession
     layout: LakeLayout
     by: Mapping[tuple[str, str], Column] = field(default_factory=dict)
     keep: int = 3
     threads: int = 8
+    checked: bool = True
 
     @property
     def _whole(self) -> SnapshotStore:
@@ -73,27 +77,48 @@ class PartitionedStore:
         if not paths:
             raise FileNotFoundError(f"no stored table {layer}.{table}")
         base = self.layout.path(layer, table)
-        read = self.spark.read.options(basePath=base, mergeSchema="true").parquet(*paths)
-        return read
+        return self.spark.read.options(basePath=base, mergeSchema="true").parquet(*paths)
+
+    def version(self, layer: str, table: str) -> object:
+        """The newest version of each partition."""
+        if not self._split(layer, table):
+            return self._whole.version(layer, table)
+        return self.partitions(layer, table)
 
     def save(
-        self, source: DataFrame, layer: str, table: str, on: Keys, stage: bool = True
+        self,
+        source: DataFrame,
+        layer: str,
+        table: str,
+        on: Keys,
+        stage: bool = True,
+        unique: bool = False,
     ) -> Saved:
+        """Upsert by partition. Refused before anything changes: values that do not fit the
+        types of the table, two rows with one key unless ``unique``, and, where ``checked``,
+        keys the table holds in another partition."""
         if not self._split(layer, table):
-            return self._whole.save(source, layer, table, on, stage)
+            return self._whole.save(source, layer, table, on, stage, unique)
         path = self.layout.path(layer, table)
         batch = f"{path}/_staging/{uuid.uuid4().hex}"
-        split = source.withColumn(_PART, _part_name(self.by[(layer, table)]))
+        held = self._read_parts(layer, table) if self.exists(layer, table) else None
+        fitted = source if held is None else _as_in(source, held)
+        fitted = fitted if unique else refuse_copies(fitted, on)
+        split = fitted.withColumn(_PART, _part_name(self.by[(layer, table)]))
         # One file or few per partition, and a hot partition spread over several tasks.
         split.hint("rebalance", _PART).write.partitionBy(_PART).parquet(batch)
         try:
             arrived = files.subdirectories(self.spark, batch)
             if not arrived:
                 return Saved(None, empty=True)
+            if held is not None and self.checked:
+                _refuse_moved(self.spark.read.parquet(batch), held, on)
             self._each(arrived, lambda name: self._take(f"{batch}/{name}", f"{path}/{name}", on))
         finally:
             files.delete(self.spark, batch)
-        return Saved(self.read(layer, table).count())
+        paths = list(self.partitions(layer, table).values())
+        # A count needs no columns, so no file but for its row count.
+        return Saved(self.spark.read.schema(StructType()).parquet(*paths).count())
 
     def _take(self, arrived: str, path: str, on: Keys) -> None:
         if not snapshots.table_exists(self.spark, path):
@@ -111,12 +136,14 @@ class PartitionedStore:
         pairs = key_pairs(on)
         keys = source.select(*[F.col(p.source).alias(p.target) for p in pairs]).distinct()
         held = self._read_parts(layer, table).select(_PART, *[p.target for p in pairs])
-        touched = held.join(keys, [p.target for p in pairs], "left_semi")
+        targets = [p.target for p in pairs]
+        with snapshots.staged(held.join(keys, targets, "left_semi"), self.layout.path(layer, table)) as (touched, _, _):
 
-        def mark(path: str) -> None:
-            snapshots.set_matched_many(source, {path: on}, values)
+            def mark(path: str) -> None:
+                part = path.rpartition(f"{_PART}=")[2]
+                snapshots.set_matched_many(touched.where(F.col(_PART) == part), {path: targets}, values)
 
-        self._rewrite(layer, table, touched, mark)
+            self._rewrite(layer, table, touched, mark)
 
     def set_where(self, layer: str, table: str, rows: Column, values: Values) -> None:
         if not self._split(layer, table):
@@ -144,6 +171,26 @@ class PartitionedStore:
             list(pool.map(inheritable_thread_target(self.spark)(work), names))
 
 
+def _as_in(source: DataFrame, held: DataFrame) -> DataFrame:
+    """The source with the types of the table's columns."""
+    types = {f.name: f.dataType for f in held.schema.fields}
+    casts = {
+        f.name: F.col(f.name).cast(types[f.name])
+        for f in source.schema.fields
+        if types.get(f.name, f.dataType) != f.dataType
+    }
+    return source.withColumns(casts) if casts else source
+
+
+def _refuse_moved(batch: DataFrame, held: DataFrame, on: Keys) -> None:
+    pairs = key_pairs(on)
+    names = [p.target for p in pairs]
+    goes = batch.select(F.col(_PART).alias("__goes"), *[F.col(p.source).alias(p.target) for p in pairs])
+    moved = held.select(_PART, *names).join(goes, names).where(F.col(_PART) != F.col("__goes"))
+    if not moved.isEmpty():
+        raise ValueError("a key of the batch is in another partition of the table already")
+
+
 def _part_name(value: Column) -> Column:
     """A directory name that needs no escaping and reads back as text, for NULL as well."""
     text = F.coalesce(value.cast("string"), F.lit(""))

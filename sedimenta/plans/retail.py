@@ -6,7 +6,7 @@ Column names, codes and labels are the model's own and stay in its language.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,7 @@ from sedimenta.functions import (
     timestamp_or_blank,
     to_bigint,
 )
+from sedimenta.operators.audit import CREATED
 from sedimenta.operators.dedupe import dedupe
 from sedimenta.operators.joins import join_on_concat, join_skewed
 from sedimenta.plans.spec import GoldSpec, StepSpec, TableSpec
@@ -112,13 +113,13 @@ def discount_type(agreement: str, discount: str) -> Column:
     )
 
 
-def silver_clientes(df: DataFrame) -> DataFrame:
+def silver_clientes(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         F.col("v_id_cli").cast("string").alias("codigo_cliente"),
         date_or_blank("d_dt_nasc").alias("data_nascimento_cliente"),
         decode_map("v_sx_cli", GENDERS, "").alias("genero_biologico_cliente"),
         decode_map("n_est_cvl", MARITAL_STATES, "").alias("estado_civil_cliente"),
-        "hash_id",
+        *keep,
     )
 
 
@@ -133,29 +134,29 @@ def silver_clientes_idade(df: DataFrame, as_of: dt.date | str | None = None) ->
     )
 
 
-def silver_clientes_opt(df: DataFrame) -> DataFrame:
+def silver_clientes_opt(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         F.col("v_id_cli").cast("string").alias("codigo_cliente"),
         flag_label("b_push").alias("autoriza_notificacao_push"),
         flag_label("b_sms").alias("autoriza_notificacao_sms"),
         flag_label("b_email").alias("autoriza_notificacao_email"),
         flag_label("b_call").alias("autoriza_notificacao_ligacao"),
-        "hash_id",
+        *keep,
     )
 
 
-def silver_enderecos_clientes(df: DataFrame) -> DataFrame:
+def silver_enderecos_clientes(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         F.col("v_id_cli").cast("string").alias("codigo_cliente"),
         to_bigint("n_sq_end").alias("sequencia_endereco_cliente"),
         timestamp_or_blank("d_dt_exc").alias("data_exclusao_endereco"),
         F.col("v_lcl").cast("string").alias("cidade_endereco"),
         F.col("v_uf").cast("string").alias("UF_endereco"),
-        "hash_id",
+        *keep,
     )
 
 
-def silver_itens_vendas(df: DataFrame) -> DataFrame:
+def silver_itens_vendas(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         to_bigint("n_id_fil").alias("codigo_filial"),
         to_bigint("n_id_vd_fil").alias("id_venda_filial"),
@@ -166,11 +167,11 @@ def silver_itens_vendas(df: DataFrame) -> DataFrame:
         money("n_vlr_vd").alias("valor_final_item"),
         money("n_vlr_desc").alias("valor_desconto_item"),
         to_bigint("n_qtd").alias("quantidade_itens"),
-        "hash_id",
+        *keep,
     )
 
 
-def silver_pedidos(df: DataFrame) -> DataFrame:
+def silver_pedidos(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         to_bigint("n_id_pdd").alias("id_pedido"),
         date_or_blank("d_dt_eft_pdd").alias("data_realizacao_pedido"),
@@ -179,20 +180,20 @@ def silver_pedidos(df: DataFrame) -> DataFrame:
         blank_if_null("v_uf_entr_pdd").alias("UF_pedido"),
         blank_if_null("v_lc_ent_pdd").alias("cidade_entrega"),
         money("n_vlr_tot_pdd").alias("valor_total_pedido"),
-        "hash_id",
+        *keep,
     )
 
 
-def silver_pedido_venda(df: DataFrame) -> DataFrame:
+def silver_pedido_venda(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         to_bigint("n_id_fil").alias("codigo_filial"),
         to_bigint("n_id_vd_fil").alias("id_venda_filial"),
         to_bigint("n_id_pdd").alias("id_pedido"),
-        "hash_id",
+        *keep,
     )
 
 
-def silver_vendas(df: DataFrame) -> DataFrame:
+def silver_vendas(df: DataFrame, keep: Sequence[str] = ("hash_id",)) -> DataFrame:
     return df.select(
         timestamp_or_blank("d_dt_vd").alias("data_emissao"),
         to_bigint("n_id_fil").alias("codigo_filial"),
@@ -202,7 +203,7 @@ def silver_vendas(df: DataFrame) -> DataFrame:
         money("n_vlr_tot_desc").alias("valor_total_desconto"),
         flag_from("v_cpn_eml").alias("enviado_email"),
         blank_if_null("tp_pgt").alias("tipo_pagamento"),
-        "hash_id",
+        *keep,
     )
 
 
@@ -217,6 +218,18 @@ SILVER = {
 }
 
 
+#: What makes two silver rows versions of one record.
+RECORD = {
+    "clientes": (CLIENT,),
+    "clientes_opt": (CLIENT,),
+    "enderecos_clientes": (CLIENT, "sequencia_endereco_cliente"),
+    "itens_vendas": (*SALE, "codigo_item_venda"),
+    "pedidos": ("id_pedido",),
+    "pedido_venda": (*SALE, "id_pedido"),
+    "vendas": tuple(SALE),
+}
+
+
 def _sale_headers(silver: Mapping[str, DataFrame]) -> DataFrame:
     """One row per sale and order. All three inputs have a row per sale or order, so this
     stays far smaller than the items."""
@@ -259,13 +272,17 @@ def gold_vendas_items(silver: Mapping[str, DataFrame]) -> DataFrame:
 def gold_vendas(silver: Mapping[str, DataFrame]) -> DataFrame:
     """One row per coupon: its first item and its first order.
 
-    Within a coupon the join pairs every header with every item, so the first pair is the
-    first header with the first item. Both sides are therefore cut to one row per coupon
-    before the join, on the map side, and the join finds them partitioned already.
+    Within a coupon the joins pair every sale with every order and every item, so the first
+    row is the first sale with the first order and the first item. Each of the three is
+    therefore cut to one row per coupon before the joins, on the map side, and versions of a
+    sale do not multiply its orders; the joins find all three partitioned already.
     """
-    headers = dedupe(_sale_headers(silver), SALE)
+    sales = dedupe(silver["vendas"].select(*SALE, "data_emissao", "codigo_cliente"), SALE)
+    links = silver["pedido_venda"].select(*SALE, "id_pedido")
+    kinds = silver["pedidos"].select("id_pedido", "canal_venda")
+    orders = dedupe(links.join(kinds, "id_pedido").drop("id_pedido"), SALE)
     items = dedupe(_sale_items(silver), SALE)
-    return _gold_vendas_columns(items.join(headers, SALE))
+    return _gold_vendas_columns(items.join(sales, SALE).join(orders, SALE))
 
 
 def gold_vendas_concat(silver: Mapping[str, DataFrame]) -> DataFrame:
@@ -338,10 +355,16 @@ def gold_clientes(
 
 
 def table_specs(
-    key_mode: str = "strict", landing: Mapping[str, LandingFormat] | None = None
+    key_mode: str = "strict",
+    landing: Mapping[str, LandingFormat] | None = None,
+    newest: bool = False,
 ) -> list[TableSpec]:
     """The seven source tables, in load order.
 
+    With ``newest`` silver holds the newest version of each record (``RECORD``), by the
+    ``creationDate`` of bronze, so a correction replaces what it corrects, in gold too. Bronze
+    keeps every version. Archive or replace landing files then: old ones read again are new.
+
     With strict keys bronze holds each key once and the silver steps map rows one to one,
     so silver needs no dedupe. Compat keys can be NULL and collapse rows, in both steps.
     """
@@ -355,8 +378,11 @@ def table_specs(
                 if strict
                 else partial(bronze, name, key_mode=key_mode),
                 distinct=strict,
+                unchecked=strict,
             ),
-            silver=StepSpec(SILVER[name], distinct=strict, one_to_one=True),
+            silver=StepSpec(partial(SILVER[name], keep=("hash_id", CREATED)), merge_key=RECORD[name])
+            if newest
+            else StepSpec(SILVER[name], distinct=strict, unchecked=strict, one_to_one=True),
             landing=formats.get(name, LandingFormat()),
         )
         for name in LANDING_COLUMNS

@@ -30,7 +30,8 @@ def run_lake(
 
     Source tables do not depend on one another, so ``threads`` of them may be submitted at
     a time, which fills the cluster while small tables run; under a FAIR scheduler each
-    has a pool of its own. Gold tables come after all silver tables, one by one.
+    has a pool of its own. Gold tables come after all silver tables, one by one; a gold table
+    over a table that failed in this run is skipped.
     """
 
     def load(spec: TableSpec) -> list[StepResult]:
@@ -43,7 +44,15 @@ def run_lake(
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         loaded = list(pool.map(inheritable_thread_target(store.spark)(load), tables))
     results = [result for pair in loaded for result in pair]
-    return results + [run_gold(store, spec) for spec in golds]
+    failed = {r.table for r in results if r.status == "failed"}
+    for spec in golds:
+        stale = [t for t in spec.tables if t in failed]
+        if stale:
+            reason = f"a step failed: {stale}"
+            results.append(StepResult(spec.name, "gold", "skipped", reason=reason))
+        else:
+            results.append(run_gold(store, spec))
+    return results
 
 
 def report_frame(spark: SparkSession, results: Sequence[StepResult]) -> DataFrame:

@@ -39,7 +39,9 @@ class StepSpec:
     ``merge_key``      upsert on these columns instead, to keep only the newest version of
                        a record whose content changed.
     ``order_by``       which row survives among equal keys.
-    ``distinct``       the transform already returns one row per key, so no dedupe follows.
+    ``distinct``       the transform already returns one row per key, so no dedupe follows; a
+                       save fails if it does not.
+    ``unchecked``      leave that check out: for keys that are made from distinct rows.
     ``one_to_one``     the transform maps each input row to one output row and carries the
                        key along. If the input holds each key once, the step is then
                        ``distinct`` as well, and all of it runs without a shuffle.
@@ -51,12 +53,18 @@ class StepSpec:
     order_by: Sequence[str] = ()
     distinct: bool = False
     one_to_one: bool = False
+    unchecked: bool = False
     view: str | None = None
 
     @property
     def upsert_key(self) -> Sequence[str]:
         return self.merge_key or self.key
 
+    @property
+    def makes_keys_distinct(self) -> bool:
+        """Whether rows need no check of their keys when they are saved."""
+        return self.merge_key is not None or not self.distinct or self.unchecked
+
     @property
     def keeps_keys(self) -> bool:
         """Whether the keys of the output are exactly those of the input."""

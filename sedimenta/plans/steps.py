@@ -91,7 +91,9 @@ def run_bronze(
         return StepResult(spec.name, "bronze", "skipped", reason="no landing files")
     taken = landing.inputFiles() if archive else []
     frame = apply_step(landing, spec.bronze, as_of)
-    saved = store.save(frame, "bronze", spec.name, list(spec.bronze.upsert_key))
+    saved = store.save(
+        frame, "bronze", spec.name, list(spec.bronze.upsert_key), unique=spec.bronze.makes_keys_distinct
+    )
     if saved.empty:
         return StepResult(spec.name, "bronze", "skipped", reason="no landing rows")
     archive_files(store.spark, taken, layout.archive(spec.name))
@@ -109,6 +111,7 @@ def run_silver(
     """
     if not store.exists("bronze", spec.name):
         return StepResult(spec.name, "silver", "skipped", reason="no bronze table")
+    version = store.version("bronze", spec.name)
     bronze = store.read("bronze", spec.name)
     batch = only_unprocessed(bronze) if incremental else bronze
     step = spec.silver
@@ -116,15 +119,20 @@ def run_silver(
         return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
     frame = apply_step(batch, step, as_of)
     plain_scan = step.keeps_keys and not incremental
-    saved = store.save(frame, "silver", spec.name, list(step.upsert_key), stage=not plain_scan)
+    saved = store.save(
+        frame, "silver", spec.name, list(step.upsert_key), stage=not plain_scan, unique=step.makes_keys_distinct
+    )
     if saved.empty:
         return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
     if not spec.set_on_bronze:
         return StepResult(spec.name, "silver", "ok", saved.rows)
-    if step.keeps_keys:
-        # Every row of the batch reached silver, so no key join is needed to tell which.
+    if step.keeps_keys and version is not None and store.version("bronze", spec.name) == version:
+        # Every row of bronze or of its unmarked part reached silver, so no join tells which.
         taken = ~F.coalesce(F.col(PROCESSED), F.lit(False)) if incremental else F.lit(True)
         store.set_where("bronze", spec.name, taken, spec.set_on_bronze)
+    elif step.keeps_keys:
+        # Rows may have landed since: those of the batch only, each as it was when read.
+        store.set_matched(batch, "bronze", spec.name, [*step.key, CREATED], spec.set_on_bronze)
     else:
         keys = shape_step(batch, step, as_of)
         store.set_matched(keys, "bronze", spec.name, list(step.key), spec.set_on_bronze)
@@ -144,7 +152,7 @@ def run_gold(store: Store, spec: GoldSpec) -> StepResult:
         frame = run_sql(store.spark, spec.build, **silver)
     if not spec.distinct:
         frame = dedupe(frame, spec.key, spec.order_by)
-    saved = store.save(frame, "gold", spec.name, list(spec.key))
+    saved = store.save(frame, "gold", spec.name, list(spec.key), unique=not spec.distinct)
     if saved.empty:
         return StepResult(spec.name, "gold", "skipped", reason="the join gave no rows")
     if spec.write_back:

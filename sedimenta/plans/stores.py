@@ -1,4 +1,4 @@
-"""Where layer tables are kept. All stores offer the same five operations."""
+"""Where layer tables are kept. All stores offer the same operations."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from sedimenta.operators.merge import KeyColumn, key_pairs
+from sedimenta.operators.merge import KeyColumn, key_pairs, refuse_copies
 from sedimenta.plans.spec import LakeLayout
 from sedimenta.sources import catalog, snapshots
 
@@ -37,17 +37,27 @@ class SnapshotStore:
     def read(self, layer: str, table: str) -> DataFrame:
         return snapshots.read_table(self.spark, self.layout.path(layer, table))
 
+    def version(self, layer: str, table: str) -> object:
+        """What ``read`` would read now; equal values mean equal rows. None if not known."""
+        return snapshots.latest_version(self.spark, self.layout.path(layer, table))
+
     def save(
-        self, source: DataFrame, layer: str, table: str, on: Keys, stage: bool = True
+        self,
+        source: DataFrame,
+        layer: str,
+        table: str,
+        on: Keys,
+        stage: bool = True,
+        unique: bool = False,
     ) -> Saved:
-        """Create the table, or upsert ``source``, whose keys are distinct. ``stage=False``
-        leaves out the intermediate files: for a source that is a mere scan of rows, about
-        as many as the table has."""
+        """Create the table, or upsert ``source``. It fails if two rows share a key;
+        ``unique`` leaves that check out. ``stage=False`` leaves out the intermediate files:
+        for a source that is a mere scan of rows, about as many as the table has."""
         path = self.layout.path(layer, table)
         if stage or not snapshots.table_exists(self.spark, path):
-            info = snapshots.create_or_upsert(source, path, on, source_unique=True)
+            info = snapshots.create_or_upsert(source, path, on, source_unique=unique, form="outer")
         else:
-            info = snapshots.upsert(source, path, on, source_unique=True, form="outer")
+            info = snapshots.upsert(source, path, on, source_unique=unique, form="outer")
         self._expire(path)
         return Saved(None, empty=True) if info is None else Saved(info.rows)
 
@@ -90,9 +100,19 @@ class CatalogStore:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def version(self, layer: str, table: str) -> object:
+        return None
+
     def save(
-        self, source: DataFrame, layer: str, table: str, on: Keys, stage: bool = True
+        self,
+        source: DataFrame,
+        layer: str,
+        table: str,
+        on: Keys,
+        stage: bool = True,
+        unique: bool = False,
     ) -> Saved:
+        source = source if unique else refuse_copies(source, on)
         catalog.create_or_merge(source, self.name(layer, table), on, self.provider)
         return Saved(None)
 

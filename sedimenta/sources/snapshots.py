@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.dedupe import distinct_keys
-from sedimenta.operators.merge import KeyColumn, key_pairs, merge_frames
+from sedimenta.operators.merge import KeyColumn, key_pairs, merge_frames, refuse_copies
 from sedimenta.sources import files
 
 _VERSION = re.compile(r"v(\d{6,})")
@@ -192,11 +192,12 @@ def create_or_upsert(
     ``form`` is that of the merge, whatever the size of the batch: ``outer`` (the default
     with ``source_unique``: a table made by this alone then holds each key once, so no key
     of it is hot) or ``probe`` (the default otherwise, and the one for a small source or a
-    table that holds a key very often).
+    table that holds a key very often). Without ``source_unique`` a new table is refused a
+    source that repeats a key.
     """
     spark = source.sparkSession
     if not table_exists(spark, path):
-        info = write_snapshot(source, path)
+        info = write_snapshot(source if source_unique else refuse_copies(source, on), path)
         if info.rows:
             return info
         files.delete(spark, info.path)

@@ -49,7 +49,9 @@ def ingest_landing_stream(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         frame = apply_step(batch, spec.bronze, as_of)
-        store.save(frame, "bronze", spec.name, list(spec.bronze.upsert_key))
+        store.save(
+            frame, "bronze", spec.name, list(spec.bronze.upsert_key), unique=spec.bronze.makes_keys_distinct
+        )
 
     query = (
         reader.load(layout.path("transient", spec.name))

@@ -13,8 +13,8 @@ def frame(spark, schema, *data):
     return spark.createDataFrame(list(data), schema)
 
 
-FORMS = [dict(), dict(source_unique=True), dict(source_unique=True, form="outer")]
-every_form = pytest.mark.parametrize("form", FORMS, ids=["checked", "unique", "outer"])
+FORMS = [dict(), dict(source_unique=True), dict(source_unique=True, form="outer"), dict(form="outer")]
+every_form = pytest.mark.parametrize("form", FORMS, ids=["checked", "unique", "outer", "outer-checked"])
 
 
 @every_form
@@ -113,7 +113,7 @@ def test_arguments_are_checked(spark):
     for bad in (
         dict(on=[]), dict(on="nope"), dict(on="k", update="some"),
         dict(on="k", update={"nope": "1"}), dict(on="k", update={}),
-        dict(on="k", form="outer"), dict(on="k", form="inner", source_unique=True),
+        dict(on="k", form="inner", source_unique=True),
     ):
         with pytest.raises(ValueError):
             merge_frames(one, one, **bad)
@@ -172,3 +172,12 @@ def test_merge_agrees_with_the_model(spark, target, source, delete, insert, upda
     if len(set(keys)) == len(keys):
         assert rows(merged(True)) == want
         assert rows(merged(True, "outer")) == want
+
+
+def test_outer_form_refuses_repeated_keys(spark):
+    target = frame(spark, "k int, v int", (1, 1))
+    repeated = frame(spark, "k int, v int", (1, 2), (1, 3))
+    with pytest.raises(Exception, match="share one key"):
+        merge_frames(target, repeated, "k", form="outer").collect()
+    keyless = frame(spark, "k int, v int", (None, 2), (None, 3))
+    assert len(rows(merge_frames(target, keyless, "k", form="outer"))) == 3

@@ -95,3 +95,19 @@ def test_layer_steps_on_split_tables(spark, layout, split):
     got = split.read("silver", "t").select("k", "v", F.dayofmonth("creationDate"))
     assert rows(got) == [("a", 1, 1), ("b", 9, 2), ("c", 3, 2)]
     assert split.read("bronze", "t").where("not processed").count() == 0
+
+
+def test_batches_that_do_not_fit_are_refused_before_any_change(spark, split):
+    split.save(frame(spark, ("a", 1, "01"), ("b", 2, "02")), "gold", "t", ["k"])
+    before = rows(split.read("gold", "t"))
+    with pytest.raises(ValueError, match="another partition"):
+        split.save(frame(spark, ("a", 5, "02")), "gold", "t", ["k"])
+    with pytest.raises(Exception, match="share one key"):
+        split.save(frame(spark, ("n", 1, "03"), ("n", 2, "04")), "gold", "t", ["k"])
+    wide = spark.createDataFrame([("w", 1 << 40, "05")], "k string, v bigint, d string")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        split.save(wide, "gold", "t", ["k"])
+    assert rows(split.read("gold", "t")) == before
+    narrow = spark.createDataFrame([("w", 7, "05")], "k string, v bigint, d string")
+    split.save(narrow, "gold", "t", ["k"])
+    assert rows(split.read("gold", "t")) == sorted([*before, ("w", 7, "05")], key=repr)

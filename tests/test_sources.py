@@ -224,3 +224,11 @@ def test_preview(spark):
     frame = spark.createDataFrame([(1, None), (2, True)], "i int, b boolean")
     assert rows(preview(frame, None)) == [("1", None), ("2", "true")]
     assert preview(spark.range(100)).count() == 5
+
+
+def test_a_new_table_is_refused_repeated_keys(spark, tmp_path):
+    repeated = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="share one key"):
+        create_or_upsert(repeated, str(tmp_path / "t"), "k")
+    keyless = spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string")
+    assert create_or_upsert(keyless, str(tmp_path / "u"), "k").rows == 2

@@ -257,3 +257,71 @@ def test_merge_key_keeps_the_newest_version(spark):
     rows = [(1, 1, "2020-01-01"), (1, 5, "2020-01-03"), (1, 3, "2020-01-02")]
     frame = spark.createDataFrame(rows, "k int, v int, d string").selectExpr("k", "v", "timestamp(d) as creationDate")
     assert [r.v for r in apply_step(frame, step).collect()] == [5]
+
+
+def test_a_row_that_lands_while_silver_is_made_stays_unmarked(spark, store, layout):
+    from dataclasses import dataclass
+
+    from sedimenta.plans import SnapshotStore, StepSpec, TableSpec, run_bronze, run_silver
+    from sedimenta.sources import write_files
+
+    step = StepSpec(lambda f: f, key=("k",), distinct=True, one_to_one=True)
+    table = TableSpec("t", bronze=step, silver=step)
+
+    def land(*data):
+        write_files(spark.createDataFrame(list(data), "k string"), layout.path("transient", "t"))
+
+    @dataclass(frozen=True)
+    class Busy(SnapshotStore):
+        def save(self, source, layer, *args, **kwargs):
+            saved = super().save(source, layer, *args, **kwargs)
+            if layer == "silver":
+                land(("late",))
+                assert run_bronze(store, table, layout, "2026-12-02 00:00:00").status == "ok"
+            return saved
+
+    land(("a",), ("b",))
+    run_bronze(store, table, layout, "2026-12-01 00:00:00")
+    assert run_silver(Busy(spark, layout), table, incremental=True).status == "ok"
+    assert rows(store.read("bronze", "t").select("k", "processed")) == [
+        ("a", True), ("b", True), ("late", False)]
+    assert run_silver(store, table, incremental=True).status == "ok"
+    assert [r[0] for r in rows(store.read("silver", "t").select("k"))] == ["a", "b", "late"]
+
+
+def test_a_wrong_claim_of_distinct_rows_fails(spark, store, layout):
+    from sedimenta.plans import StepSpec, TableSpec, run_bronze
+    from sedimenta.sources import write_files
+
+    write_files(spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int"), layout.path("transient", "t"))
+    step = StepSpec(lambda f: f, key=("k",), distinct=True)
+    got = run_bronze(store, TableSpec("t", bronze=step, silver=step), layout)
+    assert got.status == "failed" and not store.exists("bronze", "t")
+
+
+def test_sql_steps_of_one_view_name_do_not_mix_in_threads(spark, store, layout):
+    from sedimenta.plans import StepSpec, TableSpec, run_lake
+    from sedimenta.sources import write_files
+
+    step = StepSpec("select * from table_tmp", key=("k",), view="table_tmp")
+    tables = [TableSpec(f"t{i}", bronze=step, silver=step) for i in range(8)]
+    for i in range(8):
+        write_files(spark.createDataFrame([(f"row {i}",)], "k string"), layout.path("transient", f"t{i}"))
+    spark.createDataFrame([("mine",)], "k string").createOrReplaceTempView("table_tmp")
+    run_lake(store, layout, tables, [], threads=8)
+    for i in range(8):
+        assert rows(store.read("bronze", f"t{i}").select("k")) == [(f"row {i}",)]
+    assert spark.table("table_tmp").first()[0] == "mine"
+    spark.catalog.dropTempView("table_tmp")
+
+
+def test_gold_is_skipped_where_a_table_failed(spark, store, layout):
+    from sedimenta.plans import GoldSpec, StepSpec, TableSpec, run_lake
+    from sedimenta.sources import write_files
+
+    write_files(spark.createDataFrame([("a",)], "k string"), layout.path("transient", "t"))
+    good, bad = StepSpec(lambda f: f, key=("k",)), StepSpec("select nope from t_tmp", view="t_tmp")
+    gold = GoldSpec("g", ("t",), lambda s: s["t"].select("k"), ("k",))
+    run_lake(store, layout, [TableSpec("t", bronze=good, silver=StepSpec(lambda f: f.drop("processed", "creationDate"), key=("k",)))], [gold])
+    got = run_lake(store, layout, [TableSpec("t", bronze=good, silver=bad)], [gold])
+    assert [r.status for r in got] == ["ok", "failed", "skipped"]
