@@ -1,8 +1,10 @@
 """Document quality by hierarchical empirical Bayes: what the text says, and where it stands.
 
-A logistic regression on hashed words and word shapes, fitted on at most `sample` labelled
-documents (those with the smallest hash of their id, spread over all), gives each document's
-evidence, a log likelihood ratio. Host and path within host have posteriors from all labels:
+A logistic regression on the hashed words, word beginnings and word shapes that a text has,
+fitted on at most `sample` labelled documents (those with the smallest hash of their id, spread
+over all), gives each document's evidence, a log likelihood ratio. Features that good and bad
+documents have about equally often are left out, and each is scaled by its log ratio in the two,
+so a few telling words count alike in a short and in a long text. Host and path within host have posteriors from all labels:
 counts of good and labelled documents, by grouped aggregation, where a host is shrunk towards
 the global share and a path towards its host. How strongly is estimated from the spread of
 hosts, and of paths within hosts, beyond what chance explains (method of moments). A site
@@ -28,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.scratch import Scratch
-from sedimenta.llm.words import FOLD, Words, column, find_words, slices
+from sedimenta.llm.words import FOLD, Words, column, find_words, mix, slices
 
-BITS = 18
+BITS = 20
 SAMPLE = 8_000
+PREFIXES = (4, 5)
 _SHAPES = 256
 _WIDTH = (1 << BITS) + _SHAPES
 
@@ -46,11 +49,16 @@ def _share(flags: np.ndarray, words: Words) -> np.ndarray:
     return sums[words.end] - sums[words.start]
 
 
-def features(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
-    """For each word: the number of its folded letters' hash, and of its shape."""
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def features(texts: pa.Array) -> tuple[Words, np.ndarray]:
+    """For each word the numbers of its features, one row a kind: its folded letters, its shape,
+    and its first bytes (-1 where it is no longer than they are)."""
     words = find_words(texts)
     if not len(words):
-        return words, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return words, np.zeros((2 + len(PREFIXES), 0), dtype=np.int64)
     length = words.end - words.start
     capital, letters = _share(_CAPITAL, words), _share(_LETTER, words)
     last = words.data[words.end - 1]
@@ -71,64 +79,76 @@ def features(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
     end = words.end.copy()
     for _ in range(3):
         end -= ((end - words.start) > 1) & ~(_LETTER[words.data[end - 1]] | _DIGIT[words.data[end - 1]])
-    folded = Words(FOLD[words.data], words.start, end, words.first)
-    return words, (folded.hashes() >> np.uint64(64 - BITS)).astype(np.int64), (1 << BITS) + shape
+    folded = FOLD[words.data]
+    kinds = [_numbered(Words(folded, words.start, end, words.first).hashes()), (1 << BITS) + shape]
+    for size in PREFIXES:
+        first_bytes = Words(folded, words.start, np.minimum(words.start + size, end), words.first)
+        kinds.append(np.where(end - words.start > size, _numbered(mix(first_bytes.hashes(), size)), -1))
+    return words, np.stack(kinds)
 
 
-def _rows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each text's feature numbers and how often it has them."""
-    words, plain, shape = features(texts)
+def _rows(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The numbers of the features that each text has."""
+    words, kinds = features(texts)
     for a, b in zip(words.first[:-1], words.first[1:], strict=True):
-        yield np.unique(np.concatenate([plain[a:b], shape[a:b]]), return_counts=True)
-
-
-def _scales(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Inverse document frequencies; 0 for features of fewer than three documents."""
-    found = np.zeros(_WIDTH)
-    for number, _ in rows:
-        found[number] += 1
-    return np.where(found >= 3, np.log(max(len(rows), 1) / np.maximum(found, 1)), 0.0)
-
-
-def _valued(row: tuple[np.ndarray, np.ndarray], scales: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled values, of length one together."""
-    value = np.log1p(row[1]) * scales[row[0]]
-    return row[0], value / max(np.sqrt((value * value).sum()), 1e-12)
-
-
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, penalty: float = 0.1, steps: int = 120) -> tuple[np.ndarray, float]:
-    """Logistic regression by Adam over all rows. Returns weights and the log odds of good."""
-    number = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, dtype=np.int64)
-    value = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+        found = np.unique(kinds[:, a:b])
+        yield found[found >= 0]
+
+
+def log_ratios(in_good: np.ndarray, in_bad: np.ndarray, n_good: int, n_bad: int, least: int = 3, chi: float = 15.0) -> np.ndarray:
+    """How much more often good texts have a feature, as a smoothed log ratio; 0 for features of
+    fewer than `least` texts and those whose chi-square, corrected for continuity, is below `chi`."""
+    if not n_good or not n_bad:
+        return np.zeros(len(in_good))
+    found, share = in_good + in_bad, n_good / (n_good + n_bad)
+    apart = np.maximum(np.abs(in_good - found * share) - 0.5, 0)
+    telling = apart * apart >= chi * found * share * (1 - share)
+    ratio = np.log((in_good + 1) / (n_good + 2)) - np.log((in_bad + 1) / (n_bad + 2))
+    return np.where((found >= least) & telling, ratio, 0.0)
+
+
+def fit(rows: list[np.ndarray], good: np.ndarray, ratios: np.ndarray, penalty: float = 1.0, steps: int = 150) -> tuple[np.ndarray, float]:
+    """Logistic regression by Adam over all rows; a row lists the features a text has, as places
+    in `ratios`, and a feature's value is its ratio. Returns what each feature and what every
+    text adds to the log likelihood ratio of good."""
     share = good.mean() if len(good) else 0.5
-    if not len(good) or not 0 < share < 1:
-        return np.zeros(_WIDTH), 0.0
+    if not len(ratios) or not 0 < share < 1:
+        return np.zeros(len(ratios)), 0.0
+    place = np.concatenate(rows)
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    value, width = ratios[place], len(ratios)
     prior = float(np.log(share / (1 - share)))
-    weights, mean, spread, bias, bias_mean, bias_spread = np.zeros(_WIDTH), np.zeros(_WIDTH), np.zeros(_WIDTH), prior, 0.0, 0.0
+    # The last parameter is the bias, which has no penalty.
+    now, mean, spread = np.append(np.zeros(width), prior), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
-        odds = np.bincount(row, value * weights[number], minlength=len(rows)) + bias
-        error = (1 / (1 + np.exp(-odds)) - good) / len(rows)
-        slope = np.bincount(number, value * error[row], minlength=_WIDTH) + penalty / len(rows) * weights
+        odds = np.bincount(row, value * now[place], minlength=len(rows)) + now[-1]
+        error = (1 / (1 + np.exp(-np.clip(odds, -500, 500))) - good) / len(rows)
+        slope = np.append(np.bincount(place, value * error[row], minlength=width) + penalty / len(rows) * now[:-1], error.sum())
         mean = 0.9 * mean + 0.1 * slope
         spread = 0.99 * spread + 0.01 * slope * slope
-        weights -= 0.3 * mean / (1 - 0.9**step) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
-        bias_slope = error.sum()
-        bias_mean = 0.9 * bias_mean + 0.1 * bias_slope
-        bias_spread = 0.99 * bias_spread + 0.01 * bias_slope**2
-        bias -= 0.1 * bias_mean / (1 - 0.9**step) / (np.sqrt(bias_spread / (1 - 0.99**step)) + 1e-8)
-    return np.append(weights, bias), prior
+        now -= 0.1 * mean / (1 - 0.9**step) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
+    return now[:-1] * ratios, float(now[-1] - prior)
+
+
+def _places(chosen: np.ndarray) -> np.ndarray:
+    """A feature number's place among the chosen ones; -1 for all others (and for number -1)."""
+    table = np.full(_WIDTH + 1, -1, dtype=np.int64)
+    table[chosen] = np.arange(len(chosen))
+    return table
 
 
 def _evidence(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, prior, scales = shared.value
-        bias = weights[_WIDTH] if len(weights) > _WIDTH else 0.0
+        chosen, weights, bias = shared.value
+        table = _places(chosen)
         for part in slices(batches):
-            odds = []
-            for row in _rows(column(part, "text")):
-                number, value = _valued(row, scales)
-                odds.append(float((weights[number] * value).sum() + bias - prior) if len(number) else 0.0)
+            words, kinds = features(column(part, "text"))
+            place = table[kinds]
+            kind, word = np.nonzero(place >= 0)
+            width = max(len(weights), 1)
+            pairs = np.unique(words.row[word] * width + place[kind, word])
+            odds = np.bincount(pairs // width, weights[pairs % width], minlength=part.num_rows)
+            odds = np.where(words.counts > 0, odds + bias, 0.0)
             yield pa.RecordBatch.from_arrays(
                 [column(part, "doc_id"), column(part, "host"), column(part, "path"), pa.array(odds, pa.float64())],
                 names=["doc_id", "host", "path", "evidence"],
@@ -137,6 +157,25 @@ def _evidence(shared):
     return run
 
 
+def learn(packed: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """The chosen features' numbers, their weights and the bias, from rows (good, number). Read
+    row by row, first to choose features, then to keep these alone: the driver holds two counts
+    a feature number and the chosen features of the sample."""
+    counts, n = np.zeros((2, _WIDTH)), [0, 0]
+    for r in packed.toLocalIterator():
+        counts[r["good"], np.frombuffer(r["number"], "<i4")] += 1
+        n[r["good"]] += 1
+    ratios = log_ratios(counts[1], counts[0], n[1], n[0])
+    chosen = np.flatnonzero(ratios)
+    table, rows, answers = _places(chosen), [], []
+    for r in packed.toLocalIterator() if len(chosen) else ():
+        place = table[np.frombuffer(r["number"], "<i4")]
+        rows.append(place[place >= 0])
+        answers.append(r["good"])
+    weights, bias = fit(rows, np.array(answers, dtype=float), ratios[chosen])
+    return chosen, weights, bias
+
+
 def _strength(sites: DataFrame, parent) -> float:
     """How many labels a parent's share is worth: from the spread of `good / n` around it."""
     spread = F.col("n") * F.pow(F.col("good") / F.col("n") - parent, 2)
@@ -183,21 +222,14 @@ def judge_quality(
                 [
                     column(part, "doc_id"),
                     column(part, "good"),
-                    pa.array([r[0].astype("<i4").tobytes() for r in rows], pa.binary()),
-                    pa.array([r[1].astype("<i4").tobytes() for r in rows], pa.binary()),
+                    pa.array([r.astype("<i4").tobytes() for r in rows], pa.binary()),
                 ],
-                names=["doc_id", "good", "number", "value"],
+                names=["doc_id", "good", "number"],
             )
 
     drawn = source.join(chosen, "doc_id").select("doc_id", "good", "text")
-    packed = drawn.mapInArrow(pack, "doc_id long, good int, number binary, value binary").orderBy("doc_id", "good").limit(2 * sample)
-    rows, answers = [], []
-    for r in packed.toLocalIterator():
-        rows.append((np.frombuffer(r["number"], "<i4").astype(np.int64), np.frombuffer(r["value"], "<i4")))
-        answers.append(r["good"])
-    scales = _scales(rows)
-    weights, prior = fit([_valued(row, scales) for row in rows], np.array(answers, dtype=float))
-    model = spark.sparkContext.broadcast((weights, prior, scales))
+    packed = drawn.mapInArrow(pack, "doc_id long, good int, number binary").orderBy("doc_id", "good", "number").limit(2 * sample)
+    model = spark.sparkContext.broadcast(learn(scratch.keep(packed, "sample")))
 
     labelled = source.select("doc_id", "host", "path").join(known, "doc_id")
     paths = scratch.keep(labelled.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "paths")

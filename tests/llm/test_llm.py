@@ -361,12 +361,26 @@ def test_licences(spark):
 def test_quality_on_held_out_labels(spark):
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select(
-        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
+        "doc_id", "toxic", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
     )
     fold = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(4)) == 0
     judged = judge_quality(frame, labels.where(~fold)).join(labels.where(fold), "doc_id")
+    kept = F.avg(F.col("kept").cast("int"))
     right = judged.agg(F.avg((F.col("kept") == F.col("good")).cast("int"))).first()[0]
-    assert right > 0.85
+    assert right > 0.9
+    assert judged.where("good").agg(kept).first()[0] > 0.97
+    assert judged.where("toxic = 1").agg(kept).first()[0] < 0.35
+
+
+def test_quality_evidence_of_few_words_in_a_long_text(spark):
+    """A telling word weighs alike in a short and in a long text; a frequent one weighs nothing."""
+    plain = "the cat sat on a mat while it rained outside "
+    rows = [(i, "s", "l", plain * (1 + i % 40) + ("vile" if i % 5 == 0 else "fine")) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    labels = spark.createDataFrame([(i, i % 5 != 0) for i in range(200)], "doc_id long, good boolean")
+    got = {r.doc_id: r for r in judge_quality(frame, labels).collect()}
+    assert all(got[i].kept == (i % 5 != 0) for i in range(400))
+    assert len({round(got[i].evidence, 9) for i in range(1, 400) if i % 5}) == 1
 
 
 def test_quality_without_labels_keeps_the_share_of_one_half(spark, docs, rows):
