@@ -1,8 +1,9 @@
 """Secret scans: strong patterns by themselves, weak ones by the company they keep.
 
 Base kinds, leftmost and not overlapping within a kind (a match that is too short is dropped):
-assign, access, hex. Weak kinds mean little alone: `key40` (a lone word of 40 base64
-characters), `user` (an assigned user or client name) and `endpoint` (an address with a scheme).
+assign, access, hex. Weak kinds mean little alone: `key40` (40 base64 characters that no such
+character, `_` or `-` continues; `=` may stand before them and a closing `.` after), `user` (an
+assigned user or client name) and `endpoint` (an address with a scheme).
 Parts are linked by an interval join within a scope of `scope` characters:
 
   key40     is reported if an identifier (access, user) starts within the scope;
@@ -35,7 +36,7 @@ PATTERNS = {
     "assign": (ASSIGN, 2, 8),
     "access": (r"AKIA[A-Z0-9]+", 0, 16),
     "hex": (r"[0-9a-f]+", 0, 32),
-    "key40": (r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])", 0, 40),
+    "key40": (r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-]|\.[A-Za-z0-9+/_-])", 0, 40),
     "user": (r"""(?i)\b(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", 0, 6),
     "endpoint": (r"""(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[^\s"'<>]+""", 0, 8),
 }
