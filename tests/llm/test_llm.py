@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -376,6 +377,54 @@ def test_licences(spark):
     }
 
 
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+    'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+    "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+    "is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be "
+    "included in all copies or substantial portions of the Software."
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer."
+)
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+)
+LGPL = (
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+    "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+)
+
+
+def test_wrapped_licences(spark):
+    def wrap(text, width=78, mark=""):
+        lines = [x for part in text.split("\n") for x in (textwrap.wrap(part, width - len(mark)) or [""])]
+        return "\n".join((mark + x).rstrip() for x in lines)
+
+    head = "The MIT License (MIT)\n\nCopyright (c) 2020 A. Writer\n\n"
+    plain = "\n".join(f"Line {i} tells of the copyright and of a licence to fish in the lake." for i in range(30))
+    cases = [
+        (head + wrap(MIT), 1, "4:MIT"),
+        (wrap(MIT, 40, " * "), 1, "0:MIT"),
+        (wrap(BSD), 1, "0:BSD"),
+        (wrap(BSD, 60, "# "), 1, "0:BSD"),
+        ("int x;\n" + wrap(GPL, 72, "// "), 1, "2:GPL"),  # its second line is enough by itself
+        (wrap(LGPL, 60), 1, "0:LGPL"),
+        ("See the end.\nAll of it is licensed under the\nMIT license.\nLicensed under the\nMIT license.", 2, "1:MIT,3:MIT"),
+        (wrap(MIT) + "\n\n" + plain + "\n" + wrap(BSD), 2, None),
+        ("Licensed under CC BY 4.0.\nCopyright 2020 A. Writer\nand all others", 1, "0:CC-BY"),
+        (plain, 0, ""),
+    ]
+    frame = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_confirmed, r.paragraphs, r.families) for r in scan_licences(frame).collect()}
+    for i, (_, count, said) in enumerate(cases):
+        assert got[i][0] == count and said in (None, got[i][1]), (i, got[i])
+    assert got[7][2] == "BSD,MIT"
+
+
 def test_quality_on_held_out_labels(spark):
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select(
