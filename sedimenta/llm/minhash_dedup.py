@@ -16,8 +16,8 @@ a component is all that links reach.
    table, each node with the table's smallest, if their components still differ; (C) in tables
    that still hold several components, the nodes of different components, if their sizes and
    `BITS` one-bit minhashes allow the similarity: bits of a pair with s differ with probability
-   (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations (which 1e-5 of
-   the pairs at the threshold do). Groups whose members are alike, but not enough to be linked,
+   (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations (which 6e-8 of
+   the pairs at s = 0.8 do). Groups whose members are alike, but not enough to be linked,
    so pass few pairs on. Round C leaves no such pair of different components unconfirmed.
 4. Components come from smallest-neighbour labels with pointer jumps, on written tables.
 
@@ -44,7 +44,7 @@ ROWS = 3
 WORDS = 5
 PERCENT = 80
 BITS = 1024
-DEVIATIONS = 4.3
+DEVIATIONS = 5.5
 
 _BIT_FACTORS = multipliers(BITS, 403)
 _MULTIPLY = multipliers(HALVES * ROWS, 401)

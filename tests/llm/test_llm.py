@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -18,7 +19,7 @@ from sedimenta.llm.decontaminate import find_leaks, leak_report, without_leaks
 from sedimenta.llm.encoding import Encoder
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines, keep_clean
-from sedimenta.llm.minhash_dedup import keep_one_of_each, near_duplicates
+from sedimenta.llm.minhash_dedup import BITS, keep_one_of_each, most_different_bits, near_duplicates
 from sedimenta.llm.queries import QUERIES, tokenizer_path
 from sedimenta.llm.secret_scan import find_secrets
 from sedimenta.llm.site_quality import judge_quality
@@ -132,6 +133,12 @@ def test_a_dense_group_of_middling_likeness(spark):
     assert got == brute_components(rows, 4)
 
 
+def test_the_bits_lose_far_fewer_links_than_banding():
+    most, p = most_different_bits(80), 0.1
+    lost = sum(math.comb(BITS, k) * p**k * (1 - p) ** (BITS - k) for k in range(most + 1, BITS + 1))
+    assert lost < 1.3e-5 / 100
+
+
 def brute_repeats(rows, window=13):
     first, out = {}, []
     for doc, text, *_ in rows:
