@@ -90,8 +90,45 @@ select p.doc_id, p.size, p.source_size::bigint as source_size, p.target, (coales
 from placed p left join passes using (doc_id)
 """
 
+_COLLOCATIONS = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+  select lang, sum(len(w))::bigint as n from words group by lang
+), phrases as (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as f
+  from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from words, range(1, 5) sizes(size) where len(w) >= size)
+  group by all having count(*) >= 30
+), candidates as (
+  select lang, size, phrase, f as a, string_split(phrase, ' ') as w from phrases where size >= 2
+), cuts as (
+  select lang, size, phrase, a, w, unnest(range(1, size)) as k from candidates
+), scored as (
+  select c.lang, c.size, c.phrase, c.a, c.k, x.f as l, y.f as r, 2000000::hugeint * c.a // (x.f::hugeint + y.f) as score
+  from cuts c join phrases x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+    join phrases y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inside as (
+  select lang, array_to_string(w[i:i + size - 1], ' ') as phrase, a as longer
+  from (select lang, w, a, sizes.size, unnest(range(1, c.size - sizes.size + 2)) as i
+    from candidates c, range(2, 4) sizes(size) where sizes.size < c.size)
+), longest as (
+  select lang, phrase, max(longer) as longer from inside group by all
+), ranked as (
+  select o.*, row_number() over (partition by o.lang order by score desc, a desc, o.phrase) as rank
+  from lowest o left join longest g on g.lang = o.lang and g.phrase = o.phrase
+  where g.longer is null or 100::hugeint * g.longer < 80::hugeint * o.a
+)
+select r.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r.r::bigint as r, n, score::bigint as score
+from ranked r join totals t on t.lang = r.lang where rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": _REPEATS,
     "op5_source_mix": _MIX,
     "op8_decontaminate": _LEAKS,
+    "op11_collocations": _COLLOCATIONS,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.llm.collocations import mine_collocations
 from sedimenta.llm.decontaminate import find_leaks, leak_report
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines
@@ -77,6 +78,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(_table(spark, sf_dir, "documents")).drop("n_lost_words")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(_table(spark, sf_dir, "documents"), most=4, least=30, top=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_secret_scan,
         op10_line_quality,
+        op11_collocations,
         pipeline,
     )
 }
