@@ -12,6 +12,7 @@ from sedimenta.llm.decontaminate import find_leaks, leak_report
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines
 from sedimenta.llm.minhash_dedup import near_duplicates
+from sedimenta.llm.personal_data import find_personal, personal_report
 from sedimenta.llm.scratch import Scratch
 from sedimenta.llm.secret_scan import find_secrets
 from sedimenta.llm.site_quality import judge_quality
@@ -82,6 +83,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_collocations(_table(spark, sf_dir, "documents"), most=4, least=30, top=2000)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_report(find_personal(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_secret_scan,
         op10_line_quality,
         op11_collocations,
+        op12_personal_data,
         pipeline,
     )
 }
