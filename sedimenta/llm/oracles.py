@@ -126,9 +126,54 @@ select r.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r.r
 from ranked r join totals t on t.lang = r.lang where rank <= 2000
 """
 
+_TRIE = r"""
+with rows as (
+  select conv_id, turn, strlen(coalesce(text, ''))::bigint as bytes,
+    sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as digest
+  from conversations where conv_id is not null
+), turns as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, digest) as pos from rows
+), convs as (
+  select conv_id, count(*) as size, conv_id - conv_id % 5 as head,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)),
+      4294967295) % 9 as h
+  from turns group by conv_id
+), given as (
+  select c.*, least(h, coalesce(s.size, 0)) as given from convs c left join (select conv_id as head, size from convs) s using (head)
+), rebuilt as (
+  select g.conv_id, t.pos, t.digest, t.bytes from given g join turns t on t.conv_id = g.head and t.pos <= g.given
+  union all
+  select g.conv_id, t.pos - g.h + g.given, t.digest, t.bytes from given g join turns t on t.conv_id = g.conv_id and t.pos > g.h
+), paths as (
+  select conv_id, list(digest order by pos) as digests, list(bytes order by pos) as sizes, count(*) as length from rebuilt group by conv_id
+), members as (
+  select conv_id, 0 as depth, '' as node, null::varchar as parent, 0::bigint as bytes, coalesce(length, 0) as length
+  from convs left join paths using (conv_id)
+  union all
+  select conv_id, d, md5(array_to_string(digests[1:d], ',')), case when d = 1 then '' else md5(array_to_string(digests[1:d - 1], ',')) end,
+    sizes[d], length from (select *, unnest(range(1, length + 1)) as d from paths)
+), nodes as (
+  select node, depth, min(conv_id) as conv_id, any_value(parent) as parent, any_value(bytes) as bytes, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = length), '')) as ends_sha256
+  from members group by node, depth
+), children as (
+  select parent, count(*) as n_children from nodes group by parent
+), valued as (
+  select n.*, coalesce(n_children, 0) as n_children from nodes n left join children c on c.parent = n.node
+), subtrees as (
+  select m.node, m.depth, sum((v.n_children = 0)::int) as n_leaves, sum((v.n_convs - 1) * v.bytes) as saved
+  from valued v join members m on m.conv_id = v.conv_id and m.depth <= v.depth group by m.node, m.depth
+)
+select v.conv_id, v.depth::bigint as depth, p.conv_id as parent_conv_id, v.n_convs::bigint as n_convs, v.n_children::bigint as n_children,
+  s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, v.ends_sha256
+from valued v join subtrees s on s.node = v.node and s.depth = v.depth left join nodes p on p.node = v.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": _REPEATS,
     "op5_source_mix": _MIX,
     "op8_decontaminate": _LEAKS,
     "op11_collocations": _COLLOCATIONS,
+    "op13_conversation_trie": _TRIE,
 }

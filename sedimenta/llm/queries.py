@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.collocations import mine_collocations
+from sedimenta.llm.conversation_trie import prefix_trie
 from sedimenta.llm.decontaminate import find_leaks, leak_report
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines
@@ -87,6 +88,10 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_report(find_personal(_table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_quality,
         op11_collocations,
         op12_personal_data,
+        op13_conversation_trie,
         pipeline,
     )
 }
