@@ -9,7 +9,7 @@ Windows are cut before they are counted where no frequent phrase is lost. A phra
 times has only words, pairs and triples met as often, so a window ends before its first pair or
 triple that is rarer. Which ones are is found by hash:
 
-1. texts are packed into slices of some megabytes, written once, so both passes see the same;
+1. texts are dealt into slices of some megabytes, written once, so both passes see the same;
 2. each slice sends the distinct hashes of its words, pairs and triples with their counts to
    `buckets` groups, and gets back those that are frequent in the whole corpus. A slice sends a
    hash once, so a word or passage of a third of the corpus is one entry of each slice;
@@ -44,7 +44,7 @@ from sedimenta.llm.scratch import Scratch
 from sedimenta.llm.words import Words, column, find_words, grams, mix, slices
 
 MOST, LEAST, TOP = 4, 30, 2000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of text a group of hashes comes from: some three million hashes.
 BUCKET_BYTES = 16 << 20
 #: Phrases of up to so many words are looked up by hash.
@@ -57,14 +57,12 @@ INSIDE = ~IS_BREAK
 INSIDE[[0x09, 0x20]] = False
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of rows, each one row with its own number."""
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of their slice."""
     number = TaskContext.get().partitionId() << 32
     for batch in slices(batches, most=SLICE_BYTES):
-        whole = pa.array([0, batch.num_rows], pa.int32())
-        size = sum(x.nbytes for x in batch.columns)
-        lists = [pa.ListArray.from_arrays(whole, column(batch, c)) for c in ("lang", "text")]
-        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), *lists], ["slice", "size", "lang", "text"])
+        numbers = pa.array(np.full(batch.num_rows, number))
+        yield pa.RecordBatch.from_arrays([numbers, column(batch, "lang"), column(batch, "text")], ["slice", "lang", "text"])
         number += 1
 
 
@@ -101,23 +99,26 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _send(buckets: int, filtered: int, least: int) -> Callable:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in _unpack(batches):
-            found = np.concatenate([part.phrases(n)[1] for n in range(1, filtered + 1)])
-            hashes, counts = np.unique(found, return_counts=True)
-            counts = np.minimum(counts, least).astype(np.min_scalar_type(least))
-            short = hashes.astype(np.uint32)
-            to = _bucket(hashes, buckets)
-            edges = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
-            spans = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(to[a]) for a, _ in spans], pa.int64()),
-                    pa.array([number] * len(spans), pa.int64()),
-                    pa.array([short[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
-                ],
-                ["bucket", "slice", "hashes", "counts"],
-            )
+        for batch in batches:
+            yield from (sent(n, _Slice(column(rows, "lang"), column(rows, "text"))) for n, rows in _runs(batch))
+
+    def sent(number: int, part: _Slice) -> pa.RecordBatch:
+        found = np.concatenate([part.phrases(n)[1] for n in range(1, filtered + 1)])
+        hashes, counts = np.unique(found, return_counts=True)
+        counts = np.minimum(counts, least).astype(np.min_scalar_type(least))
+        short = hashes.astype(np.uint32)
+        to = _bucket(hashes, buckets)
+        edges = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
+        spans = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([int(to[a]) for a, _ in spans], pa.int64()),
+                pa.array([number] * len(spans), pa.int64()),
+                pa.array([short[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+            ],
+            ["bucket", "slice", "hashes", "counts"],
+        )
 
     return send
 
@@ -140,11 +141,13 @@ def _frequent(least: int) -> Callable[[pa.Table], pa.Table]:
     return frequent
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Slice]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            langs, texts = (column(batch, c).slice(i, 1).flatten() for c in ("lang", "text"))
-            yield column(batch, "slice")[i].as_py(), _Slice(langs, texts)
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of one slice that follow each other. A slice may come in several runs."""
+    numbers = column(batch, "slice").to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield int(numbers[a]), batch.slice(a, b - a)
 
 
 def _spelled(words: Words) -> pa.DictionaryArray:
@@ -167,20 +170,19 @@ def _tally(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return at, counts
 
 
-def _windows(buckets: int, filtered: int, most: int) -> Callable:
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            notes = column(batch, "notes")
-            for i, (_, part) in enumerate(_unpack([batch])):
-                if len(part.hashes):
-                    yield _count(part, _known(notes[i].as_py() or []), buckets, filtered, most)
-
-    return windows
+def _windows(buckets: int, filtered: int, most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The windows of a slice, with what is known to be frequent in it."""
 
+    def windows(texts: pa.Table, notes: pa.Table) -> pa.Table:
+        part = _Slice(*(pa.concat_arrays(texts[c].chunks) for c in ("lang", "text")))
+        codes = [
+            np.frombuffer(hashes.as_py(), np.uint32).astype(np.uint64) | np.uint64(bucket.as_py() << 32)
+            for bucket, hashes in zip(notes["bucket"], notes["hashes"], strict=True)
+        ]
+        known = np.sort(np.concatenate([np.zeros(0, np.uint64), *codes]))
+        return pa.Table.from_batches([_count(part, known, buckets, filtered, most)])
 
-def _known(notes: list[dict]) -> np.ndarray:
-    codes = [np.frombuffer(x["hashes"], np.uint32).astype(np.uint64) | np.uint64(x["bucket"] << 32) for x in notes]
-    return np.sort(np.concatenate([np.zeros(0, np.uint64), *codes]))
+    return windows
 
 
 def _count(part: _Slice, known: np.ndarray, buckets: int, filtered: int, most: int) -> pa.RecordBatch:
@@ -232,19 +234,14 @@ def count_phrases(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    packed = scratch.keep(
-        texts.mapInArrow(_pack, "slice long, size long, lang array<string>, text array<string>"), "slices"
-    )
-    size = packed.agg(F.sum("size")).first()[0] or 0
+    dealt = scratch.keep(texts.mapInArrow(_deal, "slice long, lang string, text string"), "slices")
+    size = dealt.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, filtered = max(1, size // BUCKET_BYTES), min(FILTERED, most)
-    sent = packed.mapInArrow(_send(buckets, filtered, least), "bucket long, slice long, hashes binary, counts binary")
+    sent = dealt.mapInArrow(_send(buckets, filtered, least), "bucket long, slice long, hashes binary, counts binary")
     notes = sent.groupBy("bucket").applyInArrow(_frequent(least), "slice long, bucket long, hashes binary")
-    notes = notes.groupBy("slice").agg(F.collect_list(F.struct("bucket", "hashes")).alias("notes"))
     names = _names(most)
     schema = ", ".join(["lang string", *(f"{w} string" for w in names), "n long"])
-    windows = packed.join(notes, "slice", "left").select("slice", "lang", "text", "notes").mapInArrow(
-        _windows(buckets, filtered, most), schema
-    )
+    windows = dealt.groupBy("slice").cogroup(notes.groupBy("slice")).applyInArrow(_windows(buckets, filtered, most), schema)
     counted = windows.groupBy("lang", *names).agg(F.sum("n").alias("n"))
     summed = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     words = F.lit(most) - F.bit_count("level")
