@@ -5,23 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from harness.adapters import LANDING_SQL
+from sedimenta.plans import retail
 
 _CREATED = "timestamp '2026-12-01 00:00:00'"
 _AUDIT = f'false as processed, {_CREATED} as "creationDate"'
 
 # Landing columns of each table, as the key covers them.
-_COLUMNS = {
-    "clientes": "v_id_cli d_dt_nasc v_sx_cli n_est_cvl",
-    "clientes_opt": "b_call b_email b_push b_sms v_id_cli",
-    "enderecos_clientes": "v_id_cli n_sq_end d_dt_exc v_lcl v_uf",
-    "itens_vendas": "n_id_fil n_id_vd_fil n_id_it v_rc_elt v_it_vd_conv n_vlr_pis n_vlr_vd"
-    " n_vlr_desc n_qtd",
-    "pedidos": "n_id_pdd d_dt_eft_pdd d_dt_entr_pdd v_cnl_orig_pdd v_uf_entr_pdd v_lc_ent_pdd"
-    " n_vlr_tot_pdd",
-    "pedido_venda": "n_id_fil n_id_vd_fil n_id_pdd",
-    "vendas": "d_dt_vd n_id_fil n_id_vd_fil v_cli_cod n_vlr_tot_vd n_vlr_tot_desc v_cpn_eml"
-    " tp_pgt",
-}
+_COLUMNS = retail.LANDING_COLUMNS
 
 # What each silver table selects from its bronze table.
 _SILVER = {
@@ -79,13 +69,28 @@ _SILVER = {
         v_lcl as cidade_endereco, v_uf as "UF_endereco\"""",
 }
 
-_LINE_COLUMNS = (
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax"
-    " l_returnflag l_linestatus l_shipdate"
-).split()
-_ORDER_COLUMNS = (
-    "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority"
-).split()
+# Columns of the driver tables.
+_LINE_COLUMNS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+]
+_ORDER_COLUMNS = [
+    "o_orderkey",
+    "o_custkey",
+    "o_orderstatus",
+    "o_totalprice",
+    "o_orderdate",
+    "o_orderpriority",
+]
 
 
 def _is_text(column: str) -> bool:
@@ -115,7 +120,7 @@ def _from_landing(table: str, select: str) -> str:
 
 
 def _bronze_select(table: str) -> str:
-    columns = _COLUMNS[table].split()
+    columns = _COLUMNS[table]
     key = _strict_key(columns)
     return f"select distinct {', '.join(columns)}, {key} as hash_id from {table}_tmp"
 
@@ -267,16 +272,11 @@ ORACLES: dict[str, str] = {
             else '' end as moment from days""",
     "changed_records_silver": f"""
         with vendas_tmp as ({_CHANGED_SALES}) select {_SILVER["vendas"]} from vendas_tmp""",
-    "full_run_sql_steps": f"""
-        with {_landing("clientes_opt", "enderecos_clientes", "pedido_venda")}
-        select 'clientes_opt' as name, cast(b_call as varchar) as first,
-          cast(b_email as varchar) as second from (select distinct * from clientes_opt_tmp)
-        union all
-        select 'enderecos_clientes', v_id_cli, cast(n_sq_end as varchar)
-        from (select distinct * from enderecos_clientes_tmp)
-        union all
-        select 'pedido_venda', cast(n_id_fil as varchar), cast(n_id_vd_fil as varchar)
-        from (select distinct * from pedido_venda_tmp)""",
+    "full_run_sql_steps": f"with {_landing(*_COLUMNS)} "
+    + " union all ".join(
+        f"select '{t}' as name, {_strict_key(_COLUMNS[t])} as digest, 1 as taken from (select distinct * from {t}_tmp)"
+        for t in _COLUMNS
+    ),
     "merge_unmatched_copies": """
         select o_orderkey, o_custkey, o_totalprice from orders
         union all
@@ -359,14 +359,14 @@ ORACLES: dict[str, str] = {
         with {_landing("pedidos")}, priced as (
           select * replace (cast(n_vlr_tot_pdd as decimal(38,2)) as n_vlr_tot_pdd)
           from pedidos_tmp)
-        select *, {_compat_key(_COLUMNS["pedidos"].split())} as hash_id from priced""",
+        select *, {_compat_key(_COLUMNS["pedidos"])} as hash_id from priced""",
     "row_key_all_columns": f"select *, {_strict_key(_LINE_COLUMNS)} as hash_id from lineitem",
     "row_key_business": _from_landing(
         "pedidos", f"n_id_pdd, {_compat_key(['n_id_pdd'])} as hash_id"
     ),
     "row_key_strict": _from_landing(
         "enderecos_clientes",
-        "*, " + _strict_key(_COLUMNS["enderecos_clientes"].split(), by_type=False) + " as hash_id",
+        "*, " + _strict_key(_COLUMNS["enderecos_clientes"], by_type=False) + " as hash_id",
     ),
     "dedupe_single_key": _first_line(
         "l_orderkey", "l_shipdate nulls first", ["l_orderkey", "l_shipdate"]
@@ -378,7 +378,7 @@ ORACLES: dict[str, str] = {
     ),
     "dedupe_compat_key": f"""
         with {_landing("enderecos_clientes")}, keyed as (
-          select *, {_compat_key(_COLUMNS["enderecos_clientes"].split())} as hash_id
+          select *, {_compat_key(_COLUMNS["enderecos_clientes"])} as hash_id
           from enderecos_clientes_tmp),
         ranked as (
           select *, row_number() over (partition by hash_id order by v_id_cli nulls first,

@@ -742,15 +742,12 @@ def full_run_sql_steps(spark, sf_dir):
         silver = StepSpec("select *, 1 as taken from table_tmp", view="table_tmp")
         tables.append(replace(spec, bronze=bronze, silver=silver))
     run_lake(store, layout, tables, [], as_of=AS_OF, threads=7)
-    counts = [
-        store.read("silver", n)
-        .select(*[F.col(c).cast("string") for c in retail.LANDING_COLUMNS[n][:2]])
-        .toDF("first", "second")
-        .select(F.lit(n).alias("name"), "first", "second")
-        for n in retail.LANDING_COLUMNS
-        if n in ("clientes_opt", "enderecos_clientes", "pedido_venda")
+    # One row a row of each table: the digest of all its columns, by the strict key's rule.
+    digests = [
+        store.read("silver", n).select(F.lit(n).alias("name"), row_key(columns).alias("digest"), "taken")
+        for n, columns in retail.LANDING_COLUMNS.items()
     ]
-    return reduce(DataFrame.unionAll, counts)
+    return reduce(DataFrame.unionAll, digests)
 
 
 @query
@@ -789,7 +786,7 @@ def rerun_incremental(spark, sf_dir):
     """The same landing files taken twice, the second time for new rows only."""
     layout = new_lake(spark, "rerun")
     write_landing(spark, sf_dir, layout, ["itens_vendas"])
-    store, spec = SnapshotStore(spark, layout), _spec("itens_vendas")
+    store, spec = SnapshotStore(spark, layout), replace(_spec("itens_vendas"), tracks="changes")
     for _ in range(2):
         run_bronze(store, spec, layout, AS_OF)
         run_silver(store, spec, AS_OF, incremental=True)
@@ -856,7 +853,7 @@ def user_sql_groupby(spark, sf_dir):
         """select tipo_desconto, com_receita_eletronica, count(*) as itens,
                   sum(valor_final_item) as total, sum(quantidade_itens) as quantidade
            from itens group by tipo_desconto, com_receita_eletronica""",
-        itens=retail.silver_itens_vendas(_bronze(spark, sf_dir, "itens_vendas")),
+        {"itens": retail.silver_itens_vendas(_bronze(spark, sf_dir, "itens_vendas"))},
     )
 
 
@@ -872,7 +869,7 @@ def user_sql_window(spark, sf_dir):
                       order by valor_total_venda desc, id_venda_filial) as posicao
              from vendas)
            where posicao <= 3""",
-        vendas=retail.silver_vendas(_bronze(spark, sf_dir, "vendas")),
+        {"vendas": retail.silver_vendas(_bronze(spark, sf_dir, "vendas"))},
     )
 
 
@@ -883,6 +880,8 @@ def user_sql_union(spark, sf_dir):
         """select cidade_endereco as cidade from enderecos
            union select cidade_entrega from pedidos
            except select '' as cidade""",
-        enderecos=retail.silver_enderecos_clientes(_bronze(spark, sf_dir, "enderecos_clientes")),
-        pedidos=retail.silver_pedidos(_bronze(spark, sf_dir, "pedidos")),
+        {
+            "enderecos": retail.silver_enderecos_clientes(_bronze(spark, sf_dir, "enderecos_clientes")),
+            "pedidos": retail.silver_pedidos(_bronze(spark, sf_dir, "pedidos")),
+        },
     )

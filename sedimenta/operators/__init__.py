@@ -6,6 +6,7 @@ from sedimenta.operators.audit import (
     only_unprocessed,
     with_audit,
 )
+from sedimenta.operators.changes import replace_by_key, table_changes
 from sedimenta.operators.dedupe import dedupe, latest_per_key
 from sedimenta.operators.joins import join_on_columns, join_on_concat, join_skewed
 from sedimenta.operators.merge import merge_frames
@@ -20,5 +21,7 @@ __all__ = [
     "normalize_temporal",
     "null_to_nan",
     "only_unprocessed",
+    "replace_by_key",
+    "table_changes",
     "with_audit",
 ]

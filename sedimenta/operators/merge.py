@@ -26,7 +26,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import DataType, StructField
+
+from sedimenta.operators.evolve import conform, merged_type, overlay
 
 KeyColumn = str | tuple[str, str]
 
@@ -60,6 +62,7 @@ def merge_frames(
     delete_when: str | Column | None = None,
     source_unique: bool = False,
     form: str = "probe",
+    widen: bool = True,
 ) -> DataFrame:
     """The target after merging ``source`` into it.
 
@@ -72,8 +75,9 @@ def merge_frames(
 
     Columns only the source has are added when all columns are updated or rows are inserted;
     rows without a value for a column get NULL, and a matched row keeps the target value of
-    a column the source lacks. Source values are cast to the type of the target column.
-    A NULL key matches nothing, so such source rows are inserted each time.
+    a column the source lacks; the same holds for fields of structs, at any depth. A column of
+    both gets a type that holds the values of both (``merged_type``); without ``widen``, or where
+    there is none, source values are cast to the type of the target column. A NULL key matches nothing, so such source rows are inserted each time.
 
     If several source rows match one target row the query fails, as the outcome would be
     arbitrary. ``source_unique`` leaves that check out for sources with distinct keys. The
@@ -111,9 +115,10 @@ def merge_frames(
             gone = gone & F.col(f"target.{_HELD}").isNotNull()
         joined = joined.where(~gone)
 
-    kept = [_kept_value(f, fields, pairs, update, set_values) for f in target.schema.fields]
+    types = _merged_types(target, source, fields, widen and evolve)
+    kept = [_kept_value(f, fields, pairs, update, set_values, types, source) for f in target.schema.fields]
     kept += [_added_value(f, update) for f in added]
-    new = [_inserted_value(f, fields) for f in target.schema.fields]
+    new = [_inserted_value(f, fields, types, source) for f in target.schema.fields]
     new += [F.col(f"source.{_q(f.name)}") for f in added]
     names = target.columns + [f.name for f in added]
 
@@ -121,7 +126,7 @@ def merge_frames(
         fresh = F.col(f"target.{_HELD}").isNull()
         both = [F.when(fresh, n).otherwise(k).alias(c) for n, k, c in zip(new, kept, names)]
         keyless = target.where(~_all_present(pairs, "target")).select(
-            *[F.col(_q(c)) for c in target.columns],
+            *[conform(F.col(_q(f.name)), f.dataType, types[f.name]).alias(f.name) for f in target.schema.fields],
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in added],
         )
         unheld = source.where(~_all_present(pairs, "source")).alias("source").select(*new)
@@ -235,30 +240,49 @@ def _kept_value(
     pairs: Sequence[KeyPair],
     update: str | Mapping[str, str | Column],
     set_values: Mapping[str, Column] | None,
+    types: Mapping[str, DataType],
+    source: DataFrame,
 ) -> Column:
-    old = F.col(f"target.{_q(field.name)}")
+    held, to = F.col(f"target.{_q(field.name)}"), types[field.name]
+    old = conform(held, field.dataType, to).alias(field.name)
     if set_values is not None:
         if field.name not in set_values:
             return old
-        new = set_values[field.name].cast(field.dataType)
+        new = set_values[field.name].cast(to)
     elif update == "all" and field.name in fields and field.name not in {p.target for p in pairs}:
-        new = F.col(f"source.{_q(fields[field.name])}").cast(field.dataType)
+        name = fields[field.name]
+        new = overlay(F.col(f"source.{_q(name)}"), source.schema[name].dataType, held, field.dataType, to)
     else:
         return old
     return F.when(_hit(), new).otherwise(old).alias(field.name)
 
 
+def _merged_types(
+    target: DataFrame, source: DataFrame, fields: Mapping[str, str], widen: bool
+) -> dict[str, DataType]:
+    """The type each target column has after the merge."""
+    return {
+        f.name: f.dataType
+        if f.name not in fields or source.schema[fields[f.name]].dataType == f.dataType
+        else merged_type(f.dataType, source.schema[fields[f.name]].dataType, widen)
+        for f in target.schema.fields
+    }
+
+
 def _added_value(field: StructField, update: str | Mapping[str, str | Column]) -> Column:
     if update == "all":
         return F.col(f"source.{_q(field.name)}").alias(field.name)
     return F.lit(None).cast(field.dataType).alias(field.name)
 
 
-def _inserted_value(field: StructField, fields: Mapping[str, str]) -> Column:
+def _inserted_value(
+    field: StructField, fields: Mapping[str, str], types: Mapping[str, DataType], source: DataFrame
+) -> Column:
+    to = types[field.name]
     if field.name in fields:
-        value = F.col(f"source.{_q(fields[field.name])}")
-        return value.cast(field.dataType).alias(field.name)
-    return F.lit(None).cast(field.dataType).alias(field.name)
+        name = fields[field.name]
+        return conform(F.col(f"source.{_q(name)}"), source.schema[name].dataType, to).alias(field.name)
+    return F.lit(None).cast(to).alias(field.name)
 
 
 def _unmatched(

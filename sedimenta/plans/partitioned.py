@@ -1,30 +1,30 @@
 """A store whose tables are split by a column, so that a batch rewrites only what it touches.
 
-``VENDAS/lake_part=p2024-05/v000003/`` is a snapshot table of its own. A batch is written once,
-by partition. Partitions the table does not have yet are moved into place as they are; only
-partitions that exist already are merged, each by itself. A daily batch on a table split by
-day or month so costs what its partitions cost, whatever the size of the whole.
+A table is one folder of Parquet files split by ``lake_part``. A batch is joined with the
+partitions it has rows of, and the result replaces exactly these by one write with Spark's dynamic
+partition overwrite. Cost follows the touched partitions, whatever the size of the whole.
 
 The partition must be a function of the key or, with a key over the whole content, of any
-column: equal keys then always meet in the same partition.
+column: equal keys then always meet in the same partition. Spark moves finished partitions into
+place one after the other when the write commits, so readers at that moment may see some of them
+replaced already; a format with its own transactions belongs in a ``CatalogStore``.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from sedimenta.operators.merge import key_pairs, refuse_copies
+from sedimenta.operators.dedupe import distinct_keys
+from sedimenta.operators.merge import key_pairs, merge_frames, refuse_copies
 from sedimenta.plans.spec import LakeLayout
 from sedimenta.plans.stores import Keys, Saved, SnapshotStore, Values
-from sedimenta.sources import files, snapshots
+from sedimenta.sources import snapshots
+from sedimenta.sources.landing import is_absent
 
 _PART = "lake_part"
 
@@ -32,16 +32,14 @@ _PART = "lake_part"
 @dataclass(frozen=True)
 class PartitionedStore:
     """Tables named in ``by`` are split by the given expression over their columns; others
-    are kept as in ``SnapshotStore``. ``threads`` partitions are merged at a time. ``checked``
-    reads the table's keys, and no other column, to refuse a batch with a key that would move
-    to another partition; leave it out where the key is made from the partition's column."""
+    are kept as in ``SnapshotStore``. Row counts are not known without another job and are not
+    reported for split tables."""
 
     spark: SparkSession
     layout: LakeLayout
     by: Mapping[tuple[str, str], Column] = field(default_factory=dict)
     keep: int = 3
-    threads: int = 8
-    checked: bool = True
+    keeps_versions = False
 
     @property
     def _whole(self) -> SnapshotStore:
@@ -50,40 +48,34 @@ class PartitionedStore:
     def _split(self, layer: str, table: str) -> bool:
         return (layer, table) in self.by
 
-    def partitions(self, layer: str, table: str) -> dict[str, str]:
-        """The partitions that hold data, each with the folder of its newest version."""
-        path = self.layout.path(layer, table)
-        found = {}
-        for name in files.subdirectories(self.spark, path):
-            if name.startswith(f"{_PART}="):
-                newest = snapshots.latest_path(self.spark, f"{path}/{name}")
-                if newest is not None:
-                    found[name.removeprefix(f"{_PART}=")] = newest
-        return found
+    def _read_parts(self, layer: str, table: str) -> DataFrame | None:
+        """The table with its partition column. Partitions may differ in late columns."""
+        try:
+            options = {"mergeSchema": "true"}
+            return self.spark.read.options(**options).parquet(self.layout.path(layer, table)).withColumn(
+                _PART, F.col(_PART).cast("string")
+            )
+        except AnalysisException as error:
+            if not is_absent(error):
+                raise
+            return None
 
     def exists(self, layer: str, table: str) -> bool:
         if not self._split(layer, table):
             return self._whole.exists(layer, table)
-        return bool(self.partitions(layer, table))
+        return self._read_parts(layer, table) is not None
 
     def read(self, layer: str, table: str) -> DataFrame:
         if not self._split(layer, table):
             return self._whole.read(layer, table)
-        return self._read_parts(layer, table).drop(_PART)
-
-    def _read_parts(self, layer: str, table: str) -> DataFrame:
-        """The table with its partition column. Partitions may differ in late columns."""
-        paths = list(self.partitions(layer, table).values())
-        if not paths:
+        held = self._read_parts(layer, table)
+        if held is None:
             raise FileNotFoundError(f"no stored table {layer}.{table}")
-        base = self.layout.path(layer, table)
-        return self.spark.read.options(basePath=base, mergeSchema="true").parquet(*paths)
+        return held.drop(_PART)
 
     def version(self, layer: str, table: str) -> object:
-        """The newest version of each partition."""
-        if not self._split(layer, table):
-            return self._whole.version(layer, table)
-        return self.partitions(layer, table)
+        """Not known for split tables."""
+        return None if self._split(layer, table) else self._whole.version(layer, table)
 
     def save(
         self,
@@ -94,101 +86,65 @@ class PartitionedStore:
         stage: bool = True,
         unique: bool = False,
     ) -> Saved:
-        """Upsert by partition. Refused before anything changes: values that do not fit the
-        types of the table, two rows with one key unless ``unique``, and, where ``checked``,
-        keys the table holds in another partition."""
+        """Upsert into the partitions the batch has rows of. It fails, with nothing changed, if
+        two rows share a key (``unique`` leaves that check out) or a value does not fit the type
+        of the table's column."""
         if not self._split(layer, table):
             return self._whole.save(source, layer, table, on, stage, unique)
-        path = self.layout.path(layer, table)
-        batch = f"{path}/_staging/{uuid.uuid4().hex}"
-        held = self._read_parts(layer, table) if self.exists(layer, table) else None
-        fitted = source if held is None else _as_in(source, held)
-        fitted = fitted if unique else refuse_copies(fitted, on)
-        split = fitted.withColumn(_PART, _part_name(self.by[(layer, table)]))
-        # One file or few per partition, and a hot partition spread over several tasks.
-        split.hint("rebalance", _PART).write.partitionBy(_PART).parquet(batch)
-        try:
-            arrived = files.subdirectories(self.spark, batch)
-            if not arrived:
+        source = source if unique else refuse_copies(source, on)
+        split = source.withColumn(_PART, _part_name(self.by[(layer, table)]))
+        with snapshots.staged(split, f"{self.layout.path(layer, table)}_batches") as (batch, rows, _):
+            if not rows:
                 return Saved(None, empty=True)
-            if held is not None and self.checked:
-                _refuse_moved(self.spark.read.parquet(batch), held, on)
-            self._each(arrived, lambda name: self._take(f"{batch}/{name}", f"{path}/{name}", on))
-        finally:
-            files.delete(self.spark, batch)
-        paths = list(self.partitions(layer, table).values())
-        # A count needs no columns, so no file but for its row count.
-        return Saved(self.spark.read.schema(StructType()).parquet(*paths).count())
-
-    def _take(self, arrived: str, path: str, on: Keys) -> None:
-        if not snapshots.table_exists(self.spark, path):
-            snapshots.adopt_snapshot(self.spark, arrived, path)
-            return
-        batch = self.spark.read.parquet(arrived)
-        snapshots.upsert(batch, path, on, source_unique=True, form="outer")
-        snapshots.expire_snapshots(self.spark, path, self.keep)
+            held = self._read_parts(layer, table)
+            if held is None:
+                held = batch.where(F.lit(False))
+            touched = self._touched(batch)
+            # Partitions that are not touched keep their types, so these do too.
+            merged = merge_frames(
+                held.where(touched), batch, [*key_pairs(on), _PART], source_unique=True, form="outer", widen=False
+            )
+            self._write(merged, layer, table)
+        return Saved(None)
 
     def set_matched(
         self, source: DataFrame, layer: str, table: str, on: Keys, values: Values
     ) -> None:
         if not self._split(layer, table):
             return self._whole.set_matched(source, layer, table, on, values)
+        held = self._read_parts(layer, table)
         pairs = key_pairs(on)
-        keys = source.select(*[F.col(p.source).alias(p.target) for p in pairs]).distinct()
-        held = self._read_parts(layer, table).select(_PART, *[p.target for p in pairs])
-        targets = [p.target for p in pairs]
-        with snapshots.staged(held.join(keys, targets, "left_semi"), self.layout.path(layer, table)) as (touched, _, _):
-
-            def mark(path: str) -> None:
-                part = path.rpartition(f"{_PART}=")[2]
-                snapshots.set_matched_many(touched.where(F.col(_PART) == part), {path: targets}, values)
-
-            self._rewrite(layer, table, touched, mark)
+        names = [p.target for p in pairs]
+        keys = distinct_keys(source, [p.source for p in pairs]).toDF(*names)
+        with snapshots.staged(keys, f"{self.layout.path(layer, table)}_batches") as (asked, _, _):
+            touched = self._touched(held.join(asked, names, "left_semi"))
+            merged = merge_frames(
+                held.where(touched), asked, names, update=values, insert=False, source_unique=True
+            )
+            self._write(merged, layer, table)
 
     def set_where(self, layer: str, table: str, rows: Column, values: Values) -> None:
         if not self._split(layer, table):
             return self._whole.set_where(layer, table, rows, values)
-        touched = self._read_parts(layer, table).where(rows)
-        self._rewrite(
-            layer, table, touched, lambda p: snapshots.set_where(self.spark, p, rows, values)
-        )
-
-    def _rewrite(
-        self, layer: str, table: str, touched: DataFrame, change: Callable[[str], object]
-    ) -> None:
-        """Apply a change to the partitions that ``touched`` has rows of."""
-        base = self.layout.path(layer, table)
-        names = [f"{_PART}={r[0]}" for r in touched.select(_PART).distinct().collect()]
-
-        def one(name: str) -> None:
-            change(f"{base}/{name}")
-            snapshots.expire_snapshots(self.spark, f"{base}/{name}", self.keep)
-
-        self._each(names, one)
-
-    def _each(self, names: Iterable[str], work: Callable[[str], None]) -> None:
-        with ThreadPoolExecutor(max_workers=self.threads) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(work), names))
-
-
-def _as_in(source: DataFrame, held: DataFrame) -> DataFrame:
-    """The source with the types of the table's columns."""
-    types = {f.name: f.dataType for f in held.schema.fields}
-    casts = {
-        f.name: F.col(f.name).cast(types[f.name])
-        for f in source.schema.fields
-        if types.get(f.name, f.dataType) != f.dataType
-    }
-    return source.withColumns(casts) if casts else source
-
-
-def _refuse_moved(batch: DataFrame, held: DataFrame, on: Keys) -> None:
-    pairs = key_pairs(on)
-    names = [p.target for p in pairs]
-    goes = batch.select(F.col(_PART).alias("__goes"), *[F.col(p.source).alias(p.target) for p in pairs])
-    moved = held.select(_PART, *names).join(goes, names).where(F.col(_PART) != F.col("__goes"))
-    if not moved.isEmpty():
-        raise ValueError("a key of the batch is in another partition of the table already")
+        held = self._read_parts(layer, table)
+        types = {f.name: f.dataType for f in held.schema.fields}
+        touched = held.where(self._touched(held.where(rows)))
+        changed = {
+            name: F.when(rows, (F.expr(v) if isinstance(v, str) else v).cast(types[name])).otherwise(F.col(name))
+            for name, v in values.items()
+        }
+        self._write(touched.withColumns(changed), layer, table)
+
+    def _touched(self, rows: DataFrame) -> Column:
+        """Which partitions these rows are in, as a filter the scan prunes folders by. The names
+        of the partitions of one batch pass through the driver, as they do in any listing."""
+        names = [r[0] for r in rows.select(_PART).distinct().collect()]
+        return F.col(_PART).isin(names) if names else F.lit(False)
+
+    def _write(self, frame: DataFrame, layer: str, table: str) -> None:
+        # One file or few per partition, and a hot partition spread over several tasks.
+        writer = frame.hint("rebalance", _PART).write.mode("overwrite").partitionBy(_PART)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.layout.path(layer, table))
 
 
 def _part_name(value: Column) -> Column:

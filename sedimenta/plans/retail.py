@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from sedimenta.functions import (
     to_bigint,
 )
 from sedimenta.operators.audit import CREATED
-from sedimenta.operators.dedupe import dedupe
+from sedimenta.operators.dedupe import dedupe, distinct_keys
 from sedimenta.operators.joins import join_on_concat, join_skewed
 from sedimenta.plans.spec import GoldSpec, StepSpec, TableSpec
 from sedimenta.sources.landing import LandingFormat
@@ -354,10 +354,36 @@ def gold_clientes(
     )
 
 
+def touched_sales(changes: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
+    """The coupons whose sale, items or orders changed. An order is found by its links; a link
+    that is gone is among the changes itself."""
+    direct = [changes[t].select(*SALE) for t in ("vendas", "itens_vendas", "pedido_venda")]
+    orders = changes["pedidos"].select("id_pedido").distinct()
+    linked = silver["pedido_venda"].join(orders, "id_pedido", "left_semi").select(*SALE)
+    return reduce(DataFrame.unionByName, [*direct, linked]).toDF(*COUPON)
+
+
+def narrow_sales(silver: Mapping[str, DataFrame], coupons: DataFrame) -> dict[str, DataFrame]:
+    """The silver rows of some coupons: semi joins on their keys, which reach the scans."""
+    keys = coupons.select(*COUPON).toDF(*SALE)
+    cut = {t: silver[t].join(keys, SALE, "left_semi") for t in ("vendas", "itens_vendas", "pedido_venda")}
+    orders = distinct_keys(cut["pedido_venda"], ["id_pedido"])
+    return {**cut, "pedidos": silver["pedidos"].join(orders, "id_pedido", "left_semi")}
+
+
+def touched_clients(changes: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [c.select(CLIENT) for c in changes.values()])
+
+
+def narrow_clients(silver: Mapping[str, DataFrame], clients: DataFrame) -> dict[str, DataFrame]:
+    return {t: df.join(clients.select(CLIENT), CLIENT, "left_semi") for t, df in silver.items()}
+
+
 def table_specs(
     key_mode: str = "strict",
     landing: Mapping[str, LandingFormat] | None = None,
     newest: bool = False,
+    tracks: str = "flag",
 ) -> list[TableSpec]:
     """The seven source tables, in load order.
 
@@ -384,13 +410,16 @@ def table_specs(
             if newest
             else StepSpec(SILVER[name], distinct=strict, unchecked=strict, one_to_one=True),
             landing=formats.get(name, LandingFormat()),
+            tracks=tracks,
         )
         for name in LANDING_COLUMNS
     ]
 
 
-def gold_specs(as_of: dt.date | str | None = None) -> list[GoldSpec]:
-    """The two gold tables. ``as_of`` is the day ages are taken at; today by default."""
+def gold_specs(as_of: dt.date | str | None = None, newest: bool = False) -> list[GoldSpec]:
+    """The two gold tables. ``as_of`` is the day ages are taken at; today by default. ``newest``
+    as in ``table_specs``: it decides by what silver rows are known."""
+    silver_keys = RECORD if newest else {t: ("hash_id",) for t in RECORD}
     return [
         GoldSpec(
             name="vendas",
@@ -398,6 +427,9 @@ def gold_specs(as_of: dt.date | str | None = None) -> list[GoldSpec]:
             build=gold_vendas,
             key=COUPON,
             distinct=True,
+            input_keys=silver_keys,
+            touched=touched_sales,
+            narrow=narrow_sales,
         ),
         GoldSpec(
             name="clientes",
@@ -405,5 +437,9 @@ def gold_specs(as_of: dt.date | str | None = None) -> list[GoldSpec]:
             build=partial(gold_clientes, as_of=as_of),
             key=(CLIENT,),
             distinct=True,
+            input_keys=silver_keys,
+            touched=touched_clients,
+            narrow=narrow_clients,
+            stamp=str(as_of or dt.date.today()),
         ),
     ]

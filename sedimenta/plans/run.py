@@ -51,7 +51,7 @@ def run_lake(
             reason = f"a step failed: {stale}"
             results.append(StepResult(spec.name, "gold", "skipped", reason=reason))
         else:
-            results.append(run_gold(store, spec))
+            results.append(run_gold(store, spec, incremental))
     return results
 
 

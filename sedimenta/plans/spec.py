@@ -41,6 +41,7 @@ class StepSpec:
     ``order_by``       which row survives among equal keys.
     ``distinct``       the transform already returns one row per key, so no dedupe follows; a
                        save fails if it does not.
+    ``args``           values of the named parameters (``:day``) of SQL text.
     ``unchecked``      leave that check out: for keys that are made from distinct rows.
     ``one_to_one``     the transform maps each input row to one output row and carries the
                        key along. If the input holds each key once, the step is then
@@ -55,6 +56,7 @@ class StepSpec:
     one_to_one: bool = False
     unchecked: bool = False
     view: str | None = None
+    args: Mapping[str, object] = field(default_factory=dict)
 
     @property
     def upsert_key(self) -> Sequence[str]:
@@ -73,13 +75,24 @@ class StepSpec:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A source table: how to read it, and its bronze and silver steps."""
+    """A source table: how to read it, and its bronze and silver steps.
+
+    ``tracks``  how an incremental silver step knows what it has taken. ``flag``: bronze rows are
+                marked as processed, which writes bronze once more. ``changes``: silver notes the
+                version of bronze it was made from and reads what changed since; bronze is not
+                touched, and its flag stays false. A store without versions falls back to flags.
+    """
 
     name: str
     bronze: StepSpec
     silver: StepSpec
     landing: LandingFormat = LandingFormat()
     set_on_bronze: Mapping[str, str] = field(default_factory=lambda: {"processed": "true"})
+    tracks: str = "flag"
+
+    def __post_init__(self) -> None:
+        if self.tracks not in ("flag", "changes"):
+            raise ValueError(f"tracks must be 'flag' or 'changes', not {self.tracks!r}")
 
 
 @dataclass(frozen=True)
@@ -91,6 +104,13 @@ class GoldSpec:
     ``distinct``    the build already returns one row per key.
     ``write_back``  silver table -> key pairs (silver column, gold column); the matched
                     silver rows get ``set_on_silver``. Empty: no write-back.
+    ``input_keys``  silver table -> its key; with ``touched`` and ``narrow`` a run can rebuild the
+                    rows whose inputs changed only (``run_gold(incremental=True)``).
+    ``touched``     from the changed rows of each silver table, and the silver tables, the gold
+                    keys that may come out differently.
+    ``narrow``      the silver tables cut down to the rows that meet given gold keys.
+    ``stamp``       what else the result depends on, such as the day of an age: another stamp than
+                    that of the last run means that all is built anew.
     """
 
     name: str
@@ -101,6 +121,15 @@ class GoldSpec:
     distinct: bool = False
     write_back: Mapping[str, Sequence[KeyColumn]] = field(default_factory=dict)
     set_on_silver: Mapping[str, str] = field(default_factory=lambda: {"processed": "true"})
+    input_keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    touched: Callable[[Mapping[str, DataFrame], Mapping[str, DataFrame]], DataFrame] | None = None
+    narrow: Callable[[Mapping[str, DataFrame], DataFrame], Mapping[str, DataFrame]] | None = None
+    stamp: str = ""
+
+    @property
+    def propagates(self) -> bool:
+        """Whether changes of the inputs can be followed to gold keys."""
+        return bool(self.input_keys and self.touched and self.narrow)
 
 
 @dataclass(frozen=True)

@@ -21,17 +21,26 @@ def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator
             spark.catalog.dropTempView(name)
 
 
-def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+def run_sql(
+    spark: SparkSession,
+    text: str,
+    frames: Mapping[str, DataFrame] | None = None,
+    args: Mapping[str, object] | None = None,
+) -> DataFrame:
     """Any Spark SQL query, with ``frames`` visible under their names. The returned frame is
     resolved already and outlives the views.
 
+    ``args`` are the values of named parameters such as ``:day``. They are bound as literals of
+    their own type and never become part of the text, so a quote in a value does no harm.
+
     Temp views belong to the session, so each frame is registered under a name of its own and
     bound to the name in the text by a CTE: runs in other threads, and views of the caller
     with the same name, are not touched.
     """
+    values = dict(args) if args else None
     if not frames:
-        return spark.sql(text)
+        return spark.sql(text, args=values)
     own = {f"frame_{uuid.uuid4().hex}": frame for frame in frames.values()}
     bound = ", ".join(f"`{name}` as (select * from {view})" for name, view in zip(frames, own, strict=True))
     with temp_views(spark, own):
-        return spark.sql(f"with {bound} (\n{text.rstrip().removesuffix(';')}\n)")
+        return spark.sql(f"with {bound} (\n{text.rstrip().removesuffix(';')}\n)", args=values)

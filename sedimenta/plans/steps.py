@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import wraps
 
 from pyspark.errors import AnalysisException
@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.audit import CREATED, PROCESSED, normalize_temporal, only_unprocessed, with_audit
+from sedimenta.operators.changes import rows_after, rows_gone
 from sedimenta.operators.dedupe import dedupe
 from sedimenta.plans.partitioned import PartitionedStore
 from sedimenta.plans.spec import GoldSpec, LakeLayout, StepResult, StepSpec, TableSpec
 from sedimenta.plans.sql import run_sql
-from sedimenta.plans.stores import CatalogStore, SnapshotStore
+from sedimenta.plans.stores import CatalogStore, Saved, SnapshotStore
 from sedimenta.sources.landing import archive_files, is_absent, read_landing
 
 Store = SnapshotStore | PartitionedStore | CatalogStore
@@ -53,7 +54,7 @@ def _transformed(df: DataFrame, step: StepSpec) -> DataFrame:
         return step.transform(df)
     if step.view is None:
         raise ValueError("a step given as SQL text needs the name of its view")
-    return run_sql(df.sparkSession, step.transform, **{step.view: df})
+    return run_sql(df.sparkSession, step.transform, {step.view: df}, step.args)
 
 
 def _reported(layer: str) -> Callable:
@@ -107,10 +108,13 @@ def run_silver(
     """Bronze table -> silver table, then mark the bronze rows as processed.
 
     All of bronze is taken each time unless ``incremental``, which takes the rows not yet
-    marked; silver ends up the same but for the ``creationDate`` of rows already there.
+    marked, or those changed since the last run (``TableSpec.tracks``); silver ends up the same
+    but for the ``creationDate`` of rows already there.
     """
     if not store.exists("bronze", spec.name):
         return StepResult(spec.name, "silver", "skipped", reason="no bronze table")
+    if incremental and spec.tracks == "changes" and store.keeps_versions:
+        return _silver_from_changes(store, spec, as_of)
     version = store.version("bronze", spec.name)
     bronze = store.read("bronze", spec.name)
     batch = only_unprocessed(bronze) if incremental else bronze
@@ -139,20 +143,57 @@ def run_silver(
     return StepResult(spec.name, "silver", "ok", saved.rows)
 
 
+def _silver_from_changes(store: SnapshotStore, spec: TableSpec, as_of: AsOf) -> StepResult:
+    """Silver from what changed in bronze since the version it was last made from.
+
+    A row that left bronze leaves silver where the step keeps keys; a step that folds rows
+    cannot tell, and keeps what it has.
+    """
+    step, version = spec.silver, store.version("bronze", spec.name)
+    since = store.taken("silver", spec.name).get("bronze")
+    if since == version:
+        return StepResult(spec.name, "silver", "skipped", reason="no changes in bronze")
+    fresh = since is None or not store.exists("silver", spec.name)
+    changes = None if fresh else store.changes("bronze", spec.name, since, spec.bronze.upsert_key)
+    if changes is None:
+        frame = apply_step(store.read("bronze", spec.name), step, as_of)
+        saved = store.save(frame, "silver", spec.name, list(step.upsert_key), unique=step.makes_keys_distinct)
+    else:
+        with store.held(changes, "silver", spec.name) as (changed, rows):
+            if not rows:
+                store.note_taken("silver", spec.name, {"bronze": version})
+                return StepResult(spec.name, "silver", "skipped", reason="no changes in bronze")
+            gone = rows_gone(changed) if step.keeps_keys else None
+            gone = None if gone is None or gone.isEmpty() else gone
+            frame = apply_step(rows_after(changed), step, as_of)
+            saved = store.save(
+                frame, "silver", spec.name, list(step.upsert_key), unique=step.makes_keys_distinct, gone=gone
+            )
+    store.note_taken("silver", spec.name, {"bronze": version})
+    if saved.empty:
+        return StepResult(spec.name, "silver", "skipped", reason="no bronze rows")
+    return StepResult(spec.name, "silver", "ok", saved.rows)
+
+
 @_reported("gold")
-def run_gold(store: Store, spec: GoldSpec) -> StepResult:
-    """Silver tables -> joined gold table, then the write-back to silver if there is one."""
+def run_gold(store: Store, spec: GoldSpec, incremental: bool = False) -> StepResult:
+    """Silver tables -> joined gold table, then the write-back to silver if there is one.
+
+    With ``incremental`` the rows whose inputs changed since the last run are rebuilt, and rows
+    that no longer come out leave the table; the result is that of building all of it. That is
+    done too where the spec or the store cannot follow changes, or a version is gone.
+    """
     missing = [t for t in spec.tables if not store.exists("silver", t)]
     if missing:
         return StepResult(spec.name, "gold", "skipped", reason=f"no silver table: {missing}")
-    silver = {t: store.read("silver", t) for t in spec.tables}
-    if callable(spec.build):
-        frame = spec.build(silver)
+    if incremental and store.keeps_versions:
+        saved = _gold_from_changes(store, spec)
+        if saved is None:
+            return StepResult(spec.name, "gold", "skipped", reason="no changes in silver")
     else:
-        frame = run_sql(store.spark, spec.build, **silver)
-    if not spec.distinct:
-        frame = dedupe(frame, spec.key, spec.order_by)
-    saved = store.save(frame, "gold", spec.name, list(spec.key), unique=not spec.distinct)
+        silver = {t: store.read("silver", t) for t in spec.tables}
+        frame = _built(store, spec, silver)
+        saved = store.save(frame, "gold", spec.name, list(spec.key), unique=not spec.distinct)
     if saved.empty:
         return StepResult(spec.name, "gold", "skipped", reason="the join gave no rows")
     if spec.write_back:
@@ -160,3 +201,46 @@ def run_gold(store: Store, spec: GoldSpec) -> StepResult:
         for table, on in spec.write_back.items():
             store.set_matched(gold, "silver", table, on, spec.set_on_silver)
     return StepResult(spec.name, "gold", "ok", saved.rows)
+
+
+def _built(store: Store, spec: GoldSpec, silver: Mapping[str, DataFrame]) -> DataFrame:
+    frame = spec.build(silver) if callable(spec.build) else run_sql(store.spark, spec.build, silver)
+    return frame if spec.distinct else dedupe(frame, spec.key, spec.order_by)
+
+
+def _gold_from_changes(store: SnapshotStore, spec: GoldSpec) -> Saved | None:
+    """Gold brought up to date with its inputs; None if none of them changed."""
+    versions = {t: store.version("silver", t) for t in spec.tables}
+    silver = {t: store.read("silver", t) for t in spec.tables}
+    taken = store.taken("gold", spec.name)
+    now = {**versions, "stamp": spec.stamp}
+    saved = None
+    if store.exists("gold", spec.name) and taken == now:
+        return None
+    changes = _silver_changes(store, spec, taken) if spec.propagates else None
+    if changes is None:
+        saved = store.overwrite(_built(store, spec, silver), "gold", spec.name)
+    else:
+        keys = spec.touched(changes, silver).select(*spec.key).distinct()
+        with store.held(keys, "gold", spec.name) as (touched, rows):
+            if rows:
+                fresh = _built(store, spec, spec.narrow(silver, touched))
+                saved = store.replace(fresh, "gold", spec.name, touched, list(spec.key))
+    store.note_taken("gold", spec.name, now)
+    return saved
+
+
+def _silver_changes(
+    store: SnapshotStore, spec: GoldSpec, taken: Mapping[str, object]
+) -> dict[str, DataFrame] | None:
+    """What changed in each input since the last run; None if that cannot be told."""
+    if not store.exists("gold", spec.name) or taken.get("stamp") != spec.stamp:
+        return None
+    changes = {}
+    for table in spec.tables:
+        since = taken.get(table)
+        changed = None if since is None else store.changes("silver", table, since, spec.input_keys[table])
+        if changed is None:
+            return None
+        changes[table] = changed
+    return changes

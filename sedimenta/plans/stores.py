@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,7 @@ class SnapshotStore:
     spark: SparkSession
     layout: LakeLayout
     keep: int = 3
+    keeps_versions = True
 
     def exists(self, layer: str, table: str) -> bool:
         return snapshots.table_exists(self.spark, self.layout.path(layer, table))
@@ -49,13 +51,17 @@ class SnapshotStore:
         on: Keys,
         stage: bool = True,
         unique: bool = False,
+        gone: DataFrame | None = None,
     ) -> Saved:
         """Create the table, or upsert ``source``. It fails if two rows share a key;
         ``unique`` leaves that check out. ``stage=False`` leaves out the intermediate files:
-        for a source that is a mere scan of rows, about as many as the table has."""
+        for a source that is a mere scan of rows, about as many as the table has. Rows with a key
+        of ``gone`` that ``source`` does not have leave the table."""
         path = self.layout.path(layer, table)
         if stage or not snapshots.table_exists(self.spark, path):
-            info = snapshots.create_or_upsert(source, path, on, source_unique=unique, form="outer")
+            info = snapshots.create_or_upsert(
+                source, path, on, source_unique=unique, form="outer", gone=gone
+            )
         else:
             info = snapshots.upsert(source, path, on, source_unique=unique, form="outer")
         self._expire(path)
@@ -75,6 +81,43 @@ class SnapshotStore:
         snapshots.set_where(self.spark, path, rows, values)
         self._expire(path)
 
+    def changes(self, layer: str, table: str, since: int, on: Sequence[str]) -> DataFrame | None:
+        """The rows that differ from version ``since``; None if that is no longer there."""
+        return snapshots.read_changes(self.spark, self.layout.path(layer, table), since, on)
+
+    def taken(self, layer: str, table: str) -> dict[str, object]:
+        """The versions of its inputs that a table was last made from."""
+        return snapshots.read_taken(self.spark, self.layout.path(layer, table))
+
+    def note_taken(self, layer: str, table: str, taken: Mapping[str, object]) -> None:
+        snapshots.note_taken(self.spark, self.layout.path(layer, table), taken)
+
+    def overwrite(self, source: DataFrame, layer: str, table: str) -> Saved:
+        """The table holds the rows of ``source`` and no others."""
+        path = self.layout.path(layer, table)
+        info = snapshots.write_snapshot(source, path)
+        self._expire(path)
+        return Saved(info.rows, empty=not info.rows)
+
+    def replace(
+        self, fresh: DataFrame, layer: str, table: str, keys: DataFrame, on: Sequence[str]
+    ) -> Saved:
+        """The rows of the given keys become those of ``fresh``; other rows stay."""
+        path = self.layout.path(layer, table)
+        info = snapshots.replace_keys(fresh, path, keys, on)
+        self._expire(path)
+        return Saved(info.rows)
+
+    def remove(self, keys: DataFrame, layer: str, table: str, on: Sequence[str]) -> Saved:
+        """Rows with a key of ``keys`` leave the table."""
+        return self.replace(self.read(layer, table).limit(0), layer, table, keys, on)
+
+    @contextmanager
+    def held(self, frame: DataFrame, layer: str, table: str) -> Iterator[tuple[DataFrame, int]]:
+        """A frame computed once, into files beside the table, with its number of rows."""
+        with snapshots.staged(frame, self.layout.path(layer, table)) as (stored, rows, _):
+            yield stored, rows
+
     def _expire(self, path: str) -> None:
         snapshots.expire_snapshots(self.spark, path, self.keep)
 
@@ -90,6 +133,7 @@ class CatalogStore:
     spark: SparkSession
     namespace: str
     provider: str
+    keeps_versions = False
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.namespace}.{layer}_{table}"

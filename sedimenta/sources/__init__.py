@@ -13,6 +13,7 @@ from sedimenta.sources.snapshots import (
     create_or_upsert,
     expire_snapshots,
     latest_version,
+    read_changes,
     read_table,
     set_matched,
     table_exists,
@@ -29,6 +30,7 @@ __all__ = [
     "expire_snapshots",
     "latest_version",
     "preview",
+    "read_changes",
     "read_landing",
     "read_table",
     "set_matched",

@@ -69,7 +69,23 @@ def rename(spark: SparkSession, source: str, goal: str) -> None:
         raise OSError(f"could not move {source} to {goal}")
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of the one that is there."""
     fs, p = _open(spark, path)
-    fs.create(p, True).close()
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None if there is none."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

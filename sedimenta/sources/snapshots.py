@@ -11,10 +11,14 @@ complete; that is what lets a table be merged into itself. There is one writer p
 A merge writes the whole table once. Where the batches are small against the table, use a
 catalog table whose format supports MERGE instead (``sedimenta.sources.catalog``), which
 rewrites the touched files only.
+
+A version made by merging a batch keeps the batch beside it (``_batch``, which readers do not
+see). ``read_changes`` then compares two versions at the keys of the batches between them only.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
@@ -24,12 +28,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.dedupe import distinct_keys
+from sedimenta.operators.changes import replace_by_key, table_changes
+from sedimenta.operators.dedupe import distinct_keys, key_list
 from sedimenta.operators.merge import KeyColumn, key_pairs, merge_frames, refuse_copies
 from sedimenta.sources import files
 
 _VERSION = re.compile(r"v(\d{6,})")
 _STAGING = "_staging"
+_BATCH = "_batch"
+_TAKEN = "_taken.json"
 
 
 @dataclass(frozen=True)
@@ -74,23 +81,18 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
 def write_snapshot(df: DataFrame, path: str) -> SnapshotInfo:
     """Write ``df`` as the next version. One job: the rows are counted on the way."""
     spark = df.sparkSession
-    version = max(_versions(spark, path), default=0) + 1
+    version = next_version(spark, path)
     goal = _version_path(path, version)
     return SnapshotInfo(version, goal, _write_counted(df, goal))
 
 
-def adopt_snapshot(spark: SparkSession, files_path: str, path: str) -> None:
-    """Make finished Parquet files the first version of a table, by moving their folder."""
-    version = max(_versions(spark, path), default=0) + 1
-    goal = _version_path(path, version)
-    files.rename(spark, files_path, goal)
-    files.touch(spark, goal + "/_SUCCESS")
+def next_version(spark: SparkSession, path: str) -> int:
+    """The number the next write will have."""
+    return max(_versions(spark, path), default=0) + 1
 
 
-def latest_path(spark: SparkSession, path: str) -> str | None:
-    """The folder of the newest complete version."""
-    version = latest_version(spark, path)
-    return None if version is None else _version_path(path, version)
+def is_complete(spark: SparkSession, path: str, version: int) -> bool:
+    return files.exists(spark, _version_path(path, version) + "/_SUCCESS")
 
 
 def _write_counted(df: DataFrame, goal: str) -> int:
@@ -101,8 +103,8 @@ def _write_counted(df: DataFrame, goal: str) -> int:
 
 
 @contextmanager
-def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, int]]:
-    """``df`` computed once and held in files next to the table, with its rows and bytes.
+def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, str]]:
+    """``df`` computed once and held in files next to the table, with its rows and its folder.
 
     A merge reads its source several times. From files those reads are scans, lost
     executors cost no recomputation of the source, and the optimizer knows its size.
@@ -110,8 +112,7 @@ def staged(df: DataFrame, table_path: str) -> Iterator[tuple[DataFrame, int, int
     goal = f"{table_path.rstrip('/')}/{_STAGING}/{uuid.uuid4().hex}"
     rows = _write_counted(df, goal)
     try:
-        size = files.total_bytes(df.sparkSession, goal)
-        yield df.sparkSession.read.schema(df.schema).parquet(goal), rows, size
+        yield df.sparkSession.read.schema(df.schema).parquet(goal), rows, goal
     finally:
         files.delete(df.sparkSession, goal)
 
@@ -124,9 +125,14 @@ def upsert(
     delete_when: str | Column | None = None,
     source_unique: bool = False,
     form: str = "probe",
+    gone: DataFrame | None = None,
 ) -> SnapshotInfo:
-    """Update all columns on a match, insert otherwise, delete where asked."""
+    """Update all columns on a match, insert otherwise, delete where asked. Rows with a key of
+    ``gone`` leave the table first."""
     target = read_table(source.sparkSession, path)
+    if gone is not None:
+        names = [p.target for p in key_pairs(on)]
+        target = target.join(gone.select(*names).distinct(), names, "left_anti").select(target.columns)
     merged = merge_frames(
         target, source, on, delete_when=delete_when, source_unique=source_unique, form=form
     )
@@ -186,6 +192,7 @@ def create_or_upsert(
     *,
     source_unique: bool = False,
     form: str | None = None,
+    gone: DataFrame | None = None,
 ) -> SnapshotInfo | None:
     """Create the table from ``source``, or upsert into it; None if there were no rows.
 
@@ -202,11 +209,69 @@ def create_or_upsert(
             return info
         files.delete(spark, info.path)
         return None
-    with staged(source, path) as (batch, rows, _):
-        if not rows:
+    with staged(source, path) as (batch, rows, folder):
+        if not rows and gone is None:
             return None
         chosen = form or ("outer" if source_unique else "probe")
-        return upsert(batch, path, on, source_unique=source_unique, form=chosen)
+        info = upsert(batch, path, on, source_unique=source_unique, form=chosen, gone=gone)
+        if gone is None:
+            files.rename(spark, folder, f"{info.path}/{_BATCH}")
+        return info
+
+
+def replace_keys(fresh: DataFrame, path: str, keys: DataFrame, on: str | Sequence[str]) -> SnapshotInfo:
+    """Write a version in which the rows of the given keys are those of ``fresh``, and no others."""
+    target = read_table(fresh.sparkSession, path)
+    return write_snapshot(replace_by_key(target, fresh, keys, on), path)
+
+
+def read_changes(
+    spark: SparkSession, path: str, since: int, on: str | Sequence[str], until: int | None = None
+) -> DataFrame | None:
+    """The rows in which version ``until`` (by default the newest) differs from ``since``, as
+    ``table_changes``. None if one of the two is no longer there.
+
+    Where every version in between kept its batch, both are first cut down to the keys of these
+    batches: a semi join, which broadcasts small batches, so of the table only rows of touched keys
+    are shuffled. Otherwise all rows are compared.
+    """
+    until = latest_version(spark, path) if until is None else until
+    if until is None or not is_complete(spark, path, since) or not is_complete(spark, path, until):
+        return None
+    old, new = read_table(spark, path, since), read_table(spark, path, until)
+    if since == until:
+        old, new = old.where(F.lit(False)), new.where(F.lit(False))
+    keys = key_list(on)
+    batches = [f"{_version_path(path, v)}/{_BATCH}" for v in range(since + 1, until + 1)]
+    if batches and all(files.exists(spark, b) for b in batches):
+        parts = [spark.read.parquet(b) for b in batches]
+        if all(set(keys) <= set(p.columns) for p in parts):
+            touched = parts[0].select(*keys)
+            for part in parts[1:]:
+                touched = touched.unionByName(part.select(*keys))
+            present = F.lit(True)
+            for k in keys:
+                present = present & F.col(k).isNotNull()
+            touched = touched.distinct()
+            old, new = (
+                df.join(touched, keys, "left_semi").unionByName(df.where(~present)) for df in (old, new)
+            )
+    return table_changes(old, new, on)
+
+
+def read_taken(spark: SparkSession, path: str) -> dict[str, object]:
+    """What ``note_taken`` last wrote."""
+    text = files.read_text(spark, f"{path.rstrip('/')}/{_TAKEN}")
+    try:
+        return json.loads(text) if text else {}
+    except ValueError:  # cut off while it was written: then all is taken again
+        return {}
+
+
+def note_taken(spark: SparkSession, path: str, taken: Mapping[str, object]) -> None:
+    """Say which versions of its inputs a table has in it. Written after the table's own commit:
+    if a job ends between the two, the same changes are taken again, with the same result."""
+    files.write_text(spark, f"{path.rstrip('/')}/{_TAKEN}", json.dumps(dict(taken)))
 
 
 def compact_table(

@@ -195,7 +195,7 @@ def test_sql_step_needs_a_view_name(spark):
 
 def test_views_are_dropped_when_the_text_fails(spark):
     with pytest.raises(Exception):
-        run_sql(spark, "select nope from v", v=spark.range(1))
+        run_sql(spark, "select nope from v", {"v": spark.range(1)})
     assert not spark.catalog.tableExists("v")
 
 
@@ -244,7 +244,7 @@ def test_one_view_name_in_many_threads(spark):
     frames = {i: spark.createDataFrame([(i,)], "n int") for i in range(8)}
 
     def run(i):
-        return [run_sql(spark, "-- a note\nselect n from table_tmp;", table_tmp=frames[i]).first()[0] for _ in range(5)]
+        return [run_sql(spark, "-- a note\nselect n from table_tmp;", {"table_tmp": frames[i]}).first()[0] for _ in range(5)]
 
     with ThreadPoolExecutor(8) as pool:
         assert list(pool.map(run, frames)) == [[i] * 5 for i in frames]
