@@ -744,7 +744,7 @@ def full_run_sql_steps(spark, sf_dir):
     run_lake(store, layout, tables, [], as_of=AS_OF, threads=7)
     # One row a row of each table: the digest of all its columns, by the strict key's rule.
     digests = [
-        store.read("silver", n).select(F.lit(n).alias("name"), row_key(columns).alias("digest"), "taken")
+        store.read("silver", n).select(F.lit(n).alias("name"), row_key_for(store.read("silver", n), columns).alias("digest"), "taken")
         for n, columns in retail.LANDING_COLUMNS.items()
     ]
     return reduce(DataFrame.unionAll, digests)

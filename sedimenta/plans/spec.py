@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from sedimenta.operators.merge import KeyColumn
 from sedimenta.sources.landing import LandingFormat
@@ -81,6 +81,9 @@ class TableSpec:
                 marked as processed, which writes bronze once more. ``changes``: silver notes the
                 version of bronze it was made from and reads what changed since; bronze is not
                 touched, and its flag stays false. A store without versions falls back to flags.
+    ``checks``  name -> condition over landing columns that a bad row meets. Such rows, and records
+                the reader could not read (``LandingFormat.corrupt``), go to the bronze table
+                ``<name>_rejected`` and are counted in the step's report.
     """
 
     name: str
@@ -89,6 +92,11 @@ class TableSpec:
     landing: LandingFormat = LandingFormat()
     set_on_bronze: Mapping[str, str] = field(default_factory=lambda: {"processed": "true"})
     tracks: str = "flag"
+    checks: Mapping[str, Column | str] = field(default_factory=dict)
+
+    @property
+    def quarantines(self) -> bool:
+        return bool(self.checks) or self.landing.corrupt is not None
 
     def __post_init__(self) -> None:
         if self.tracks not in ("flag", "changes"):
@@ -109,6 +117,7 @@ class GoldSpec:
     ``touched``     from the changed rows of each silver table, and the silver tables, the gold
                     keys that may come out differently.
     ``narrow``      the silver tables cut down to the rows that meet given gold keys.
+    ``after``       gold tables that ``build`` reads by itself; they are made first.
     ``stamp``       what else the result depends on, such as the day of an age: another stamp than
                     that of the last run means that all is built anew.
     """
@@ -125,6 +134,7 @@ class GoldSpec:
     touched: Callable[[Mapping[str, DataFrame], Mapping[str, DataFrame]], DataFrame] | None = None
     narrow: Callable[[Mapping[str, DataFrame], DataFrame], Mapping[str, DataFrame]] | None = None
     stamp: str = ""
+    after: Sequence[str] = ()
 
     @property
     def propagates(self) -> bool:
@@ -136,7 +146,8 @@ class GoldSpec:
 class StepResult:
     """Outcome of one step: ``ok``, ``skipped`` (nothing to do) or ``failed``.
 
-    ``rows`` counts the stored table after the step, where the store reports it.
+    ``rows`` counts the stored table after the step, where the store reports it, ``rejected`` the
+    different bad records among the landing files of a bronze step.
     """
 
     table: str
@@ -144,3 +155,4 @@ class StepResult:
     status: str
     rows: int | None = None
     reason: str = ""
+    rejected: int = 0

@@ -12,12 +12,13 @@ from collections.abc import Callable, Mapping
 from functools import wraps
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sedimenta.operators.audit import CREATED, PROCESSED, normalize_temporal, only_unprocessed, with_audit
 from sedimenta.operators.changes import rows_after, rows_gone
 from sedimenta.operators.dedupe import dedupe
+from sedimenta.operators.quarantine import RECORD_KEY, split_rejected
 from sedimenta.plans.partitioned import PartitionedStore
 from sedimenta.plans.spec import GoldSpec, LakeLayout, StepResult, StepSpec, TableSpec
 from sedimenta.plans.sql import run_sql
@@ -91,14 +92,28 @@ def run_bronze(
             raise
         return StepResult(spec.name, "bronze", "skipped", reason="no landing files")
     taken = landing.inputFiles() if archive else []
+    rejected = 0
+    if spec.quarantines:
+        landing, bad = split_rejected(landing, spec.checks, spec.landing.corrupt)
+        rejected = save_rejected(store, spec, bad, as_of)
     frame = apply_step(landing, spec.bronze, as_of)
     saved = store.save(
         frame, "bronze", spec.name, list(spec.bronze.upsert_key), unique=spec.bronze.makes_keys_distinct
     )
-    if saved.empty:
+    if saved.empty and not rejected:
         return StepResult(spec.name, "bronze", "skipped", reason="no landing rows")
     archive_files(store.spark, taken, layout.archive(spec.name))
-    return StepResult(spec.name, "bronze", "ok", saved.rows)
+    if saved.empty:
+        return StepResult(spec.name, "bronze", "skipped", reason="no good landing rows", rejected=rejected)
+    return StepResult(spec.name, "bronze", "ok", saved.rows, rejected=rejected)
+
+
+def save_rejected(store: Store, spec: TableSpec, bad: DataFrame, as_of: AsOf = None) -> int:
+    """Rejected records into the table beside bronze, each once; how many the batch had."""
+    seen = Observation()
+    counted = with_audit(bad, as_of).observe(seen, F.count(F.lit(1)).alias("rows"))
+    store.save(counted, "bronze", f"{spec.name}_rejected", [RECORD_KEY], unique=True)
+    return seen.get["rows"]
 
 
 @_reported("silver")

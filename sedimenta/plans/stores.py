@@ -52,15 +52,18 @@ class SnapshotStore:
         stage: bool = True,
         unique: bool = False,
         gone: DataFrame | None = None,
+        batch: tuple[str, int] | None = None,
     ) -> Saved:
         """Create the table, or upsert ``source``. It fails if two rows share a key;
         ``unique`` leaves that check out. ``stage=False`` leaves out the intermediate files:
         for a source that is a mere scan of rows, about as many as the table has. Rows with a key
-        of ``gone`` that ``source`` does not have leave the table."""
+        of ``gone`` that ``source`` does not have leave the table. ``batch`` is the stream and the
+        number of the batch, for ``has_batch``."""
         path = self.layout.path(layer, table)
+        version = None if batch is None else snapshots.begin_batch(self.spark, path, *batch)
         if stage or not snapshots.table_exists(self.spark, path):
             info = snapshots.create_or_upsert(
-                source, path, on, source_unique=unique, form="outer", gone=gone
+                source, path, on, source_unique=unique, form="outer", gone=gone, version=version
             )
         else:
             info = snapshots.upsert(source, path, on, source_unique=unique, form="outer")
@@ -92,6 +95,10 @@ class SnapshotStore:
     def note_taken(self, layer: str, table: str, taken: Mapping[str, object]) -> None:
         snapshots.note_taken(self.spark, self.layout.path(layer, table), taken)
 
+    def has_batch(self, layer: str, table: str, query: str, batch_id: int) -> bool:
+        """Whether a batch of a stream is in the table already."""
+        return snapshots.has_batch(self.spark, self.layout.path(layer, table), query, batch_id)
+
     def overwrite(self, source: DataFrame, layer: str, table: str) -> Saved:
         """The table holds the rows of ``source`` and no others."""
         path = self.layout.path(layer, table)

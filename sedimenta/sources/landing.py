@@ -8,7 +8,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sedimenta.sources import files
 
@@ -27,6 +27,8 @@ class LandingFormat:
     Give a ``schema`` for JSON and CSV wherever it is known: inference reads all the data
     once more. ``options`` go to the reader as they are, for instance
     ``datetimeRebaseMode`` and ``int96RebaseMode`` for Parquet files of old writers.
+    ``corrupt`` names a column for the text of JSON and CSV records that do not fit the schema,
+    which must then be given; without it their values come as NULL.
     """
 
     format_in: str = "parquet"
@@ -35,12 +37,15 @@ class LandingFormat:
     multiline: str = "true"
     schema: StructType | str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    corrupt: str | None = None
 
     def __post_init__(self) -> None:
         _check("format", self.format_in, FORMATS)
         _check("header", self.header, SWITCHES)
         _check("infer_schema", self.infer_schema, SWITCHES)
         _check("multiline", self.multiline, SWITCHES)
+        if self.corrupt is not None and (self.schema is None or self.format_in not in ("json", "csv")):
+            raise ValueError("a column for corrupt records needs JSON or CSV and a schema")
 
     def reader_options(self) -> dict[str, str]:
         base: dict[str, str] = {}
@@ -50,8 +55,17 @@ class LandingFormat:
             base["header"] = self.header
             if self.schema is None:
                 base["inferSchema"] = self.infer_schema
+        if self.corrupt is not None:
+            base |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": self.corrupt}
         return {**base, **self.options}
 
+    def reader_schema(self) -> StructType | str | None:
+        """The schema, with the column for corrupt records if there is one."""
+        if self.corrupt is None:
+            return self.schema
+        given = self.schema if isinstance(self.schema, StructType) else StructType.fromDDL(self.schema)
+        return StructType([*given.fields, StructField(self.corrupt, StringType())])
+
 
 def _check(what: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
@@ -64,7 +78,7 @@ def read_landing(
     """The landing files below ``path`` as a lazy frame."""
     reader = spark.read.format(landing.format_in).options(**landing.reader_options())
     if landing.schema is not None:
-        reader = reader.schema(landing.schema)
+        reader = reader.schema(landing.reader_schema())
     return reader.load(path)
 
 

@@ -18,6 +18,7 @@ see). ``read_changes`` then compares two versions at the keys of the batches bet
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -37,6 +38,7 @@ _VERSION = re.compile(r"v(\d{6,})")
 _STAGING = "_staging"
 _BATCH = "_batch"
 _TAKEN = "_taken.json"
+_STREAMS = "_streams"
 
 
 @dataclass(frozen=True)
@@ -78,17 +80,19 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     return spark.read.parquet(_version_path(path, chosen))
 
 
-def write_snapshot(df: DataFrame, path: str) -> SnapshotInfo:
-    """Write ``df`` as the next version. One job: the rows are counted on the way."""
+def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> SnapshotInfo:
+    """Write ``df`` as the next version, or under a number set aside for it. One job: the rows are
+    counted on the way."""
     spark = df.sparkSession
-    version = next_version(spark, path)
+    version = next_version(spark, path) if version is None else version
     goal = _version_path(path, version)
     return SnapshotInfo(version, goal, _write_counted(df, goal))
 
 
 def next_version(spark: SparkSession, path: str) -> int:
-    """The number the next write will have."""
-    return max(_versions(spark, path), default=0) + 1
+    """The number the next write will have: above all versions, and all set aside for streams."""
+    aside = [note["version"] for note in _stream_notes(spark, path).values()]
+    return max([*_versions(spark, path), *aside], default=0) + 1
 
 
 def is_complete(spark: SparkSession, path: str, version: int) -> bool:
@@ -126,6 +130,7 @@ def upsert(
     source_unique: bool = False,
     form: str = "probe",
     gone: DataFrame | None = None,
+    version: int | None = None,
 ) -> SnapshotInfo:
     """Update all columns on a match, insert otherwise, delete where asked. Rows with a key of
     ``gone`` leave the table first."""
@@ -136,7 +141,7 @@ def upsert(
     merged = merge_frames(
         target, source, on, delete_when=delete_when, source_unique=source_unique, form=form
     )
-    return write_snapshot(merged, path)
+    return write_snapshot(merged, path, version)
 
 
 def set_matched(
@@ -193,6 +198,7 @@ def create_or_upsert(
     source_unique: bool = False,
     form: str | None = None,
     gone: DataFrame | None = None,
+    version: int | None = None,
 ) -> SnapshotInfo | None:
     """Create the table from ``source``, or upsert into it; None if there were no rows.
 
@@ -204,7 +210,7 @@ def create_or_upsert(
     """
     spark = source.sparkSession
     if not table_exists(spark, path):
-        info = write_snapshot(source if source_unique else refuse_copies(source, on), path)
+        info = write_snapshot(source if source_unique else refuse_copies(source, on), path, version)
         if info.rows:
             return info
         files.delete(spark, info.path)
@@ -213,7 +219,7 @@ def create_or_upsert(
         if not rows and gone is None:
             return None
         chosen = form or ("outer" if source_unique else "probe")
-        info = upsert(batch, path, on, source_unique=source_unique, form=chosen, gone=gone)
+        info = upsert(batch, path, on, source_unique=source_unique, form=chosen, gone=gone, version=version)
         if gone is None:
             files.rename(spark, folder, f"{info.path}/{_BATCH}")
         return info
@@ -242,7 +248,8 @@ def read_changes(
     if since == until:
         old, new = old.where(F.lit(False)), new.where(F.lit(False))
     keys = key_list(on)
-    batches = [f"{_version_path(path, v)}/{_BATCH}" for v in range(since + 1, until + 1)]
+    between = [v for v in _versions(spark, path) if since < v <= until and is_complete(spark, path, v)]
+    batches = [f"{_version_path(path, v)}/{_BATCH}" for v in between]
     if batches and all(files.exists(spark, b) for b in batches):
         parts = [spark.read.parquet(b) for b in batches]
         if all(set(keys) <= set(p.columns) for p in parts):
@@ -259,6 +266,46 @@ def read_changes(
     return table_changes(old, new, on)
 
 
+def begin_batch(spark: SparkSession, path: str, query: str, batch_id: int) -> int:
+    """Set a version number aside for a batch of a stream, and note which, before it is written.
+
+    No other write takes this number, so the version's own commit commits the batch as well: there
+    is no moment between the two in which a job could end.
+    """
+    version = next_version(spark, path)
+    note = {"batch": batch_id, "version": version}
+    files.write_text(spark, f"{path.rstrip('/')}/{_STREAMS}/{_plain(query)}/note.json", json.dumps(note))
+    return version
+
+
+def has_batch(spark: SparkSession, path: str, query: str, batch_id: int) -> bool:
+    """Whether a batch, or a later one of the same stream, is in the table."""
+    note = _stream_notes(spark, path).get(_plain(query))
+    if note is None or note["batch"] < batch_id:
+        return False
+    # Of an earlier batch the stream itself knows that it ended before the noted one began. If the
+    # version has been expired meanwhile it is not known whether it was complete: then the batch is
+    # merged once more, which repeats no row.
+    return note["batch"] > batch_id or is_complete(spark, path, note["version"])
+
+
+def _stream_notes(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
+    folder = f"{path.rstrip('/')}/{_STREAMS}"
+    notes = {}
+    for name in files.subdirectories(spark, folder):
+        text = files.read_text(spark, f"{folder}/{name}/note.json")
+        try:
+            notes[name] = json.loads(text or "")
+        except ValueError:  # cut off: the version it was to announce had not been begun
+            continue
+    return notes
+
+
+def _plain(query: str) -> str:
+    """A folder name for any text."""
+    return hashlib.sha256(query.encode()).hexdigest()[:32]
+
+
 def read_taken(spark: SparkSession, path: str) -> dict[str, object]:
     """What ``note_taken`` last wrote."""
     text = files.read_text(spark, f"{path.rstrip('/')}/{_TAKEN}")

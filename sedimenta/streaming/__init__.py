@@ -1,5 +1,5 @@
 """Landing folders as file streams."""
 
-from sedimenta.streaming.landing import ingest_landing_stream
+from sedimenta.streaming.landing import ingest_landing_stream, save_batch
 
-__all__ = ["ingest_landing_stream"]
+__all__ = ["ingest_landing_stream", "save_batch"]
