@@ -12,7 +12,6 @@ from sedimenta.operators.dedupe import key_list
 
 CHANGE = "change"
 INSERT, BEFORE, AFTER, DELETE = "insert", "update_before", "update_after", "delete"
-_OLD, _NEW = "__old", "__new"
 
 
 def table_changes(
@@ -36,6 +35,7 @@ def table_changes(
     types = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
     names = [*new.columns, *(c for c in old.columns if c not in new.columns)]
     compared = [c for c in names if c not in keys and c not in ignore]
+    was, now = _unused("__old", names), _unused("__new", names)
 
     def whole(df: DataFrame) -> DataFrame:
         return df.select(
@@ -56,11 +56,11 @@ def table_changes(
     def row(change: str, name: str) -> Column:
         return F.struct(F.lit(change).alias(CHANGE), F.col(name).alias("row"))
 
-    joined = keyed(old, _OLD).join(keyed(new, _NEW), keys, "full_outer")
+    joined = keyed(old, was).join(keyed(new, now), keys, "full_outer")
     found = (
-        F.when(F.col(_OLD).isNull(), F.array(row(INSERT, _NEW)))
-        .when(F.col(_NEW).isNull(), F.array(row(DELETE, _OLD)))
-        .when(~state(_OLD).eqNullSafe(state(_NEW)), F.array(row(BEFORE, _OLD), row(AFTER, _NEW)))
+        F.when(F.col(was).isNull(), F.array(row(INSERT, now)))
+        .when(F.col(now).isNull(), F.array(row(DELETE, was)))
+        .when(~state(was).eqNullSafe(state(now)), F.array(row(BEFORE, was), row(AFTER, now)))
     )
     changed = joined.select(F.inline(found)).select("row.*", CHANGE)
     lone = [c for c in names if c not in ignore]
@@ -70,6 +70,12 @@ def table_changes(
     return changed
 
 
+def _unused(name: str, taken: Sequence[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
 def rows_after(changes: DataFrame) -> DataFrame:
     """The new state of inserted and updated rows."""
     return changes.where(F.col(CHANGE).isin(INSERT, AFTER)).drop(CHANGE)

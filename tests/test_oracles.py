@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from harness import incremental
 from harness import oracles as harness_oracles
 from harness import queries as harness_queries
 from harness.compare import connect, differences
@@ -30,6 +31,7 @@ def test_preview_gives_five_rows_of_the_table(spark):
 
 
 def test_all_have_sql():
+    assert set(incremental.QUERIES) == set(incremental.ORACLES)
     assert set(harness_queries.QUERIES) == set(harness_oracles.ORACLES)
     assert set(ORACLES) <= set(QUERIES)
 
