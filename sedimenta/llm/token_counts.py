@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.encoding import encoder_for
+from sedimenta.llm.encoding import SLICE_BYTES, encoder_for
 from sedimenta.llm.words import column, slices
 
 _SECTIONS = "doc_id long, section int, start long, end long, n_tokens long, n_crossing long"
@@ -62,19 +62,24 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(model.value)
         begin, inside = encoder.characters()
-        for part in slices(batches, most=1 << 18):
+        for part in slices(batches, most=SLICE_BYTES):
             texts = column(part, "text").to_pylist()
+            coded, at = encoder.encode_texts(column(part, "text"))
             out: list[list] = [[], [], [], [], [], []]
-            for doc, whole, size, coded in zip(
-                column(part, "doc_id").to_pylist(), texts, column(part, "sizes").to_pylist(), encoder.encode(texts), strict=True
+            for doc, whole, size, a, b in zip(
+                column(part, "doc_id").to_pylist(), texts, column(part, "sizes").to_pylist(), at[:-1], at[1:], strict=True
             ):
                 lengths = [len(x) + 1 for x in whole.split("\n")] if by_line else [s + 1 for s in size]
                 bounds = np.concatenate([[0], np.cumsum(lengths)])
                 bounds[-1] = len(whole)
-                ids = np.frombuffer(coded, dtype=encoder.kind)
-                after = np.cumsum(begin[ids])
-                first = after - begin[ids] - inside[ids]
-                n, crossing = section_counts(first, np.maximum(first, after - 1), bounds[:-1], rule)
+                if encoder.splits:
+                    ids = coded[a:b]
+                    after = np.cumsum(begin[ids])
+                    first = after - begin[ids] - inside[ids]
+                    last = np.maximum(first, after - 1)
+                else:
+                    first, last = encoder.characters_of(whole)
+                n, crossing = section_counts(first, last, bounds[:-1], rule)
                 out[0] += [doc] * len(n)
                 out[1] += range(len(n))
                 out[2] += bounds[:-1].tolist()

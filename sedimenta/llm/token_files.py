@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.encoding import encoder_for
+from sedimenta.llm.encoding import SLICE_BYTES, encoder_for
 from sedimenta.llm.words import column, slices
 
 END = 2
@@ -130,15 +130,15 @@ def write_token_files(
         name = f"part-{context.partitionId():05d}.tokens.zst"
         draft = f"{root}/.{name}.{context.taskAttemptId()}"
         ids, counts, writer, sink = [], [], None, None
-        for part in slices(batches, most=1 << 18):
+        for part in slices(batches, most=SLICE_BYTES):
             if writer is None:
                 store.create_dir(root, recursive=True)
                 sink = store.open_output_stream(draft, compression=None)
                 writer = FrameWriter(sink)
-            coded = encoder.encode([t or "" for t in column(part, "text").to_pylist()])
-            for ids_of in coded:
-                writer.frame(ids_of + end)
-                counts.append(len(ids_of) // encoder.width + 1)
+            coded, at = encoder.encode_texts(column(part, "text"))
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                writer.frame(coded[a:b].tobytes() + end)
+                counts.append(b - a + 1)
             ids += column(part, "doc_id").to_pylist()
         if writer is None:
             return

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,24 @@ def test_encoder_agrees_with_the_library():
         assert (np.cumsum(begin[ids]) - begin[ids] - inside[ids]).tolist() == [a for a, _ in expected.offsets]
 
 
+def test_encoder_of_another_kind_of_file():
+    import public_tokenizers
+
+    encoder = Encoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    texts = ["Some  text, it's ÉTÉ", "", "a <|endoftext|> b", "x" * 300]
+    assert not encoder.splits
+    for text, coded in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(coded, encoder.kind).tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_takes_nulls_slices_and_long_words():
+    encoder = Encoder(open(tokenizer_path()).read())
+    texts = ["skip", None, "", "a\nb, c", "w" * 1_200_000, "d "]
+    ids, at = encoder.encode_texts(pa.array(texts)[1:])
+    for text, a, b in zip(texts[1:], at[:-1], at[1:], strict=True):
+        assert ids[a:b].tolist() == encoder.library.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("rule", ["first", "last"])
 def test_count_tokens(docs, rows, rule):
     library = Encoder(open(tokenizer_path()).read()).library
