@@ -16,9 +16,10 @@ a component is all that links reach.
    table, each node with the table's smallest, if their components still differ; (C) in tables
    that still hold several components, the nodes of different components, if their sizes and
    `BITS` one-bit minhashes allow the similarity: bits of a pair with s differ with probability
-   (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations (which 6e-8 of
-   the pairs at s = 0.8 do). Groups whose members are alike, but not enough to be linked,
-   so pass few pairs on. Round C leaves no such pair of different components unconfirmed.
+   (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations, of the first
+   `FIRST_BITS` and of all of them (which 6e-8 and 3e-8 of the pairs at s = 0.8 do). Of a group
+   whose members are alike, but not enough to be linked, only pairs above s = 0.75 or so are
+   passed on. Round C leaves no such pair of different components unconfirmed.
 4. Components come from smallest-neighbour labels with pointer jumps, on written tables.
 
 Nulls and edges: an empty or null text has no shingles and is linked with nothing. A null id is
@@ -43,7 +44,8 @@ HALVES = 20
 ROWS = 3
 WORDS = 5
 PERCENT = 80
-BITS = 1024
+BITS = 4096
+FIRST_BITS = 1024
 DEVIATIONS = 5.5
 
 _BIT_FACTORS = multipliers(BITS, 403)
@@ -124,9 +126,9 @@ def bit_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def most_different_bits(percent: int) -> int:
+def most_different_bits(percent: int, bits: int = BITS) -> int:
     p = (1 - percent / 100) / 2
-    return int(np.ceil(BITS * p + DEVIATIONS * np.sqrt(BITS * p * (1 - p))))
+    return int(np.ceil(bits * p + DEVIATIONS * np.sqrt(bits * p * (1 - p))))
 
 
 _BIT_COLUMNS = [f"bits{i}" for i in range(BITS // 64)]
@@ -283,13 +285,17 @@ def near_duplicates(
     def side(name: str) -> DataFrame:
         return held.select("key", *(F.col(c).alias(f"{c}_{name}") for c in ("id", "size", "component", "keys", *_BIT_COLUMNS)))
 
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _BIT_COLUMNS), F.lit(0))
+    def differ(bits: int):
+        columns = _BIT_COLUMNS[: bits // 64]
+        return sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in columns), F.lit(0))
+
     common = F.array_intersect("keys_a", "keys_b")
     across = side("a").join(side("b"), "key").where(
         (F.col("id_a") < F.col("id_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-        & (differ <= most_different_bits(percent))
+        & (differ(FIRST_BITS) <= most_different_bits(percent, FIRST_BITS))
+        & (differ(BITS) <= most_different_bits(percent))
         & (F.size(common) > 1)
         & (F.get(common, F.lit(0)) == F.col("key"))
     )

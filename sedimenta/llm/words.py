@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 1 << 20
+LONG_WORD = 64
 
 
 def _inside(separators: Iterable[int]) -> np.ndarray:
@@ -88,22 +89,24 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
     def hashes(self) -> np.ndarray:
-        """One 64-bit hash a word: a polynomial of its bytes, by differences of running sums."""
+        """One 64-bit hash a word: a polynomial of its bytes, by differences of running sums; of a
+        word of more than `LONG_WORD` bytes its XXH3."""
         out = np.empty(len(self), dtype=np.uint64)
         at = 0
         while at < len(self):
             base = self.start[at]
             to = max(at + 1, int(np.searchsorted(self.end, base + SLICE_BYTES, side="right")))
             size = int(self.end[to - 1] - base)
-            if size > SLICE_BYTES:
-                out[at] = xxhash.xxh3_64_intdigest(self.word(at))
-            else:
+            if size <= SLICE_BYTES:  # else one word, hashed below
                 up, down = _powers(SLICE_BYTES)
                 sums = np.zeros(size + 1, dtype=np.uint64)
                 np.cumsum(_BYTE_VALUES[self.data[base : base + size]] * up[:size], out=sums[1:])
                 starts, ends = self.start[at:to] - base, self.end[at:to] - base
                 out[at:to] = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
             at = to
+        # There are long words that no odd base tells apart.
+        for i in np.flatnonzero(self.end - self.start > LONG_WORD).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.word(i))
         return mix(out)
 
 

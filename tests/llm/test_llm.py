@@ -9,6 +9,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from sedimenta.llm.decontaminate import find_leaks, leak_report, without_leaks
 from sedimenta.llm.encoding import Encoder
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines, keep_clean
-from sedimenta.llm.minhash_dedup import BITS, keep_one_of_each, most_different_bits, near_duplicates
+from sedimenta.llm.minhash_dedup import BITS, FIRST_BITS, keep_one_of_each, most_different_bits, near_duplicates
 from sedimenta.llm.queries import QUERIES, tokenizer_path
 from sedimenta.llm.secret_scan import find_secrets
 from sedimenta.llm.site_quality import judge_quality
@@ -28,6 +29,7 @@ from sedimenta.llm.source_mix import mix_report, mix_sources, take_mix
 from sedimenta.llm.substring_dedup import remove_repeats
 from sedimenta.llm.token_counts import count_tokens
 from sedimenta.llm.token_files import read_documents, read_token_files, write_token_files
+from sedimenta.llm.words import find_words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, size int, component_id int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,12 +136,36 @@ def test_a_dense_group_of_middling_likeness(spark):
     assert got == brute_components(rows, 4)
 
 
-def test_the_bits_lose_far_fewer_links_than_banding():
-    most, p = most_different_bits(80), 0.1
-    lost = sum(math.comb(BITS, k) * p**k * (1 - p) ** (BITS - k) for k in range(most + 1, BITS + 1))
+@pytest.mark.parametrize("bits", [FIRST_BITS, BITS])
+def test_the_bits_lose_far_fewer_links_than_banding(bits):
+    most, p = most_different_bits(80, bits), Fraction(1, 10)
+    lost = sum(math.comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(most + 1, most + 200))
     assert lost < 1.3e-5 / 100
 
 
+def thue_morse(length, first="a"):
+    word = first
+    while len(word) < length:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:length]
+
+
+@pytest.mark.parametrize("length", [64, 65, 512, 1024, 4096, 1_500_000])
+def test_long_words_are_told_apart(spark, length):
+    one, two = thue_morse(length), thue_morse(length, "b")
+    hashes = find_words(pa.array([f"{one} {two} {one}"])).hashes()
+    assert hashes[0] == hashes[2] != hashes[1]
+    twelve = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{twelve} {one}"), (2, f"{twelve} {two}"), (3, f"{twelve} {two}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in remove_repeats(docs, window=13).orderBy("doc_id").collect()] == [0, 0, 13]
+    near = near_duplicates(docs, words=13).orderBy("doc_id").collect()
+    assert [r.component_id for r in near] == [1, 2, 2]
+    seven = " ".join(f"w{i}" for i in range(7))
+    twice = spark.createDataFrame([(1, f"{seven} {one} x {seven} {two}")], "doc_id long, text string")
+    assert judge_lines(twice).first().n_repeat_words == 0
+
+
 def brute_repeats(rows, window=13):
     first, out = {}, []
     for doc, text, *_ in rows:
