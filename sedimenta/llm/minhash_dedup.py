@@ -17,7 +17,7 @@ a component is all that links reach.
    that still hold several components, the nodes of different components, if their sizes and
    `BITS` one-bit minhashes allow the similarity: bits of a pair with s differ with probability
    (1 - s) / 2, and a pair may exceed that by `DEVIATIONS` standard deviations, of the first
-   `FIRST_BITS` and of all of them (which 6e-8 and 3e-8 of the pairs at s = 0.8 do). Of a group
+   `FIRST_BITS` and of all of them (which 6e-8 and 4e-8 of the pairs at s = 0.8 do). Of a group
    whose members are alike, but not enough to be linked, only pairs above s = 0.75 or so are
    passed on. Round C leaves no such pair of different components unconfirmed.
 4. Components come from smallest-neighbour labels with pointer jumps, on written tables.
