@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from sedimenta.llm.words import text_bytes
 
 #: Text a caller should hand over at a time: enough for parts to repeat, little for memory.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 21
 #: Parts a worker keeps, at about 30 bytes each and those of their text, which are bounded too.
 MOST_KNOWN = 400_000
 MOST_BYTES = 1 << 24
