@@ -540,4 +540,4 @@ def test_pipeline_stages(spark):
 
 def test_all_queries_are_there():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
