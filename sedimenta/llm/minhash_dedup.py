@@ -22,9 +22,13 @@ a component is all that links reach.
    passed on. Round C leaves no such pair of different components unconfirmed.
 4. Components come from smallest-neighbour labels with pointer jumps, on written tables.
 
-Nulls and edges: an empty or null text has no shingles and is linked with nothing. A null id is
-returned with a null component and kept, linked with nothing. Rows with the same id are one
-document. Empty tables give empty results; other columns are not read; texts are used whole.
+Nodes are numbered once they are written. Rows with the same id are one document: if their texts
+differ, each text is a node of its own, and the nodes of one id are joined before the first round,
+so that all links of all its texts count.
+
+Nulls and edges: an empty or null text has no shingles and is linked with nothing, its row has its
+own id as component. A null id is returned with a null component and kept, linked with nothing.
+Empty tables give empty results; other columns are not read; texts are used whole.
 """
 
 from __future__ import annotations
@@ -110,7 +114,7 @@ def _sets(words: int):
             sets = shingle_sets(column(part, "text"), words)
             packed = pa.array([s.tobytes() for s in sets], pa.binary())
             hashed = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), hashed, packed], names=["id", "set_hash", "items"])
+            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), hashed, packed], names=["doc_id", "set_hash", "items"])
 
     return run
 
@@ -234,6 +238,19 @@ def _tables(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(rows.join(leaders.select("table", "leader"), "table"), "tables")
 
 
+def _same_ids(usable: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Components of the nodes that one document id joins; None where no id has two sets."""
+    several = usable.groupBy("doc_id").agg(F.min("set_hash").alias("low"), F.max("set_hash").alias("high")).where("low < high")
+    several = scratch.keep(several.select("doc_id"), "several")
+    if several.isEmpty():
+        return None
+    of_ids = usable.join(several, "doc_id", "left_semi").select("doc_id", "set_hash").distinct()
+    held = scratch.keep(of_ids.join(nodes.select("set_hash", "id"), "set_hash").select("doc_id", "id"), "ids")
+    leaders = held.groupBy("doc_id").agg(F.min("id").alias("a"))
+    edges = held.join(leaders, "doc_id").where("a < id").select("a", F.col("id").alias("b"))
+    return components(edges, scratch)
+
+
 def near_duplicates(
     documents: DataFrame,
     words: int = WORDS,
@@ -250,20 +267,22 @@ def near_duplicates(
         texts.mapInArrow(_sketches(words), "doc_id long, n_shingles long, set_hash binary, keys array<long>"), "sketches"
     )
     usable = sketches.where(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
-    nodes = scratch.keep(
-        usable.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")),
-        "nodes",
+    nodes = usable.groupBy("set_hash").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")
     )
-    # An id with several texts is one document: its nodes meet under its id.
+    # The numbers are those of the written table; nothing computes them again.
+    nodes = scratch.keep(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     tables = _tables(nodes, scratch)
     members = scratch.keep(tables.select("id").distinct(), "members")
-    wanted = nodes.join(members, "id", "left_semi").select("id", "set_hash")
-    found = texts.join(members.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(
-        _sets(words), "id long, set_hash binary, items binary"
+    wanted = nodes.join(members, "id", "left_semi").select("id", "doc_id", "set_hash")
+    found = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+        _sets(words), "doc_id long, set_hash binary, items binary"
     )
-    sets = scratch.keep(found.join(wanted, ["id", "set_hash"], "left_semi").dropDuplicates(["id"]), "sets")
+    sets = found.join(wanted, ["doc_id", "set_hash"]).select("id", "set_hash", "items")
+    sets = scratch.keep(sets.dropDuplicates(["id"]), "sets")
 
     rounds = _Rounds(scratch, sets, percent)
+    rounds.labels = _same_ids(usable, nodes, scratch)
     others = tables.where("id <> leader")
     rounds.confirm(others.groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).select("a", "b"), "a")
 
@@ -302,7 +321,12 @@ def near_duplicates(
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     rounds.confirm(across.select("a", "b").distinct(), "c")
 
-    owners = rounds.labelled(nodes.select("set_hash", "id"), "id", "component").select("set_hash", "component")
+    owners = nodes.select("set_hash", F.col("doc_id").alias("component"))
+    if rounds.labels is not None:
+        linked = scratch.keep(nodes.select("id", "set_hash", "doc_id").join(rounds.labels, "id"), "linked")
+        least = linked.groupBy("component").agg(F.min("doc_id").alias("__least"))
+        moved = linked.join(least, "component").select("set_hash", "__least")
+        owners = owners.join(moved, "set_hash", "left").select("set_hash", F.coalesce("__least", "component").alias("component"))
     rows = sketches.join(owners, "set_hash", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

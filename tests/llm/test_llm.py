@@ -100,6 +100,10 @@ def brute_components(rows, size):
             both = len(a & b)
             if 100 * both >= 80 * (len(a) + len(b) - both):
                 parent[root(a)] = root(b)
+    of_doc = {}
+    for s, ids in nodes.items():
+        for doc in ids:
+            parent[root(s)] = root(of_doc.setdefault(doc, s))
     least = {}
     for s, ids in nodes.items():
         least[root(s)] = min([*ids, least.get(root(s), min(ids))])
@@ -136,6 +140,28 @@ def test_a_dense_group_of_middling_likeness(spark):
     assert got == brute_components(rows, 4)
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    rng = random.Random(11)
+    rows = []
+    for group in range(12):
+        one, two = ([f"{side}{group}w{rng.randrange(500)}" for _ in range(60)] for side in "ab")
+        near = list(two)
+        near[rng.randrange(60)] = "other"
+        first = 10 * group
+        rows += [(first + 5, " ".join(one)), (first + 5, " ".join(two)), (first + 2, " ".join(near)), (first + 7, " ".join(one))]
+        rows += [(first + 8, " ".join(two)), (first + 9, f"alone {group} in the world"), (first + 9, "")]
+    # One id has a third of all rows, each with another text; one of them has copies.
+    rows += [(1000, f"text number {i} of the id " + " ".join(f"{i}v{j}" for j in range(20))) for i in range(40)]
+    rows += [(1001, rows[-1][1]), (999, rows[-7][1])]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_components(rows, 4)
+    assert {r[2] for r in want if r[0] in (999, 1000, 1001)} == {999}
+    assert ordered(near_duplicates(frame, words=4)) == want
+    kept = sorted(r.doc_id for r in keep_one_of_each(frame, words=4).collect())
+    assert kept == sorted(r[0] for r in want if r[0] in {w[0] for w in want if w[3]})
+
+
 @pytest.mark.parametrize("bits", [FIRST_BITS, BITS])
 def test_the_bits_lose_far_fewer_links_than_banding(bits):
     most, p = most_different_bits(80, bits), Fraction(1, 10)
