@@ -11,12 +11,16 @@ are ranged by that time and taken until the next would exceed the total. A docum
 whole, `epochs` times at most, and reruns agree.
 
 Running sums over a source do not need its rows in one task: rows are cut into small ranges of
-their digest, ranges are summed, and the sums run over ranges. The global order is ranged by
-finish time likewise; only the range that holds the end of the budget is sorted by rows.
+their digest, and ranges into blocks of as many ranges. Sums run over the rows of a range, the
+ranges of a block and the blocks of a source, so that a source of n documents has windows of
+RANGE_ROWS rows, RANGE_ROWS ranges and n / RANGE_ROWS^2 blocks. The global order is ranged by
+finish time likewise: the block in which the budget ends is found first, then the range in it,
+and only that range is sorted by rows.
 
 Nulls: a null or empty text has size 0 and is never taken; a null source is a source, the last
 one; a null id is shuffled as an empty one. Rows with equal id, source and size are taken
-together. Empty tables give empty results; other columns are carried along or ignored.
+together. Empty tables give empty results; other columns, whatever their names, are carried along
+or ignored.
 """
 
 from __future__ import annotations
@@ -67,6 +71,27 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs:
     return share.withColumn("target", target).select("source", "rank", "n_units", "source_size", "target")
 
 
+def _before_ranges(sums: DataFrame) -> DataFrame:
+    """(rank, range, before) of (rank, range, words): the words of the source's ranges before."""
+    earlier = lambda part, by: F.coalesce(
+        F.sum("words").over(Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    placed = sums.withColumn("block", F.floor(F.col("range") / F.lit(RANGE_ROWS)))
+    blocks = placed.groupBy("rank", "block").agg(F.sum("words").alias("words"))
+    blocks = blocks.select("rank", "block", earlier(["rank"], "block").alias("blocks_before"))
+    within = placed.withColumn("ranges_before", earlier(["rank", "block"], "range"))
+    return within.join(blocks, ["rank", "block"]).select(
+        "rank", "range", (F.col("blocks_before") + F.col("ranges_before")).alias("before")
+    )
+
+
+def _end_of(sums: DataFrame, by: str, before: int, budget: int) -> tuple[int, int] | None:
+    """The first `by` up to and with which the words exceed the budget, and the words before it."""
+    running = sums.withColumn("upto", F.sum("words").over(Window.orderBy(by)) + F.lit(before))
+    end = running.where(F.col("upto") > budget).orderBy(by).select(by, (F.col("upto") - F.col("words")).alias("spent")).first()
+    return None if end is None else (end[by], end["spent"])
+
+
 def mix_sources(
     documents: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -99,11 +124,7 @@ def mix_sources(
         ),
     )
     sums = queued.groupBy("rank", "range").agg(F.sum("words").alias("words"))
-    over_ranges = Window.partitionBy("rank").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("rank").alias("__rank"), F.col("range").alias("__range"),
-        F.coalesce(F.sum("words").over(over_ranges), F.lit(0)).alias("before"),
-    )
+    sums = _before_ranges(sums).select(F.col("rank").alias("__rank"), F.col("range").alias("__range"), "before")
     in_range = Window.partitionBy("rank", "range").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     within = queued.withColumn("upto", F.sum("words").over(in_range))
     summed = within.join(sums, (F.col("rank") == F.col("__rank")) & (F.col("range") == F.col("__range"))).drop("__rank", "__range")
@@ -117,12 +138,12 @@ def mix_sources(
     )
     # The range of finish times in which the budget ends, and what is left of it there.
     totals = times.select("words", F.explode("bins").alias("bin")).groupBy("bin").agg(F.sum("words").alias("words"))
-    running = totals.withColumn("upto", F.sum("words").over(Window.orderBy("bin")))
-    cut = running.where(F.col("upto") > budget).orderBy("bin").select("bin", (F.col("upto") - F.col("words")).alias("before")).first()
-    if cut is None:
-        last, spent = 1 << 62, budget
-    else:
-        last, spent = cut["bin"], cut["before"]
+    totals = scratch.keep(totals.withColumn("block", F.floor(F.col("bin") / F.lit(RANGE_ROWS))), "totals")
+    last, spent = 1 << 62, budget
+    block = _end_of(totals.groupBy("block").agg(F.sum("words").alias("words")), "block", 0, budget)
+    if block is not None:
+        inside = totals.where(F.col("block") == block[0]).select("bin", "words")
+        last, spent = _end_of(inside, "bin", block[1], budget)
 
     key = ["rank", "doc_id", "size"]
     edge = times.select(*key, "digest", "words", F.posexplode("times").alias("pass", "time")).where(
@@ -154,16 +175,13 @@ def take_mix(documents: DataFrame, id_col: str = "doc_id", source_col: str = "so
     """The documents of the mix, all columns, each as often as it is taken."""
     mixed = mix_sources(documents, id_col=id_col, source_col=source_col, text_col=text_col, **settings).where("taken > 0")
     wanted = mixed.select(
-        F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-        F.expr("cast(taken div size as int)").alias("__times"),
+        F.struct("doc_id", "source", "size", F.expr("cast(taken div size as int)").alias("times")).alias("wanted")
     )
-    names = documents.columns
-    return (
-        with_size(documents, text_col, "__own")
-        .join(
-            wanted,
-            F.col(id_col).eqNullSafe(F.col("__doc")) & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size")),
-        )
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(names)
+    own = with_size(documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("own")), f"own.`{text_col}`")
+    matches = (
+        F.col(f"own.`{id_col}`").eqNullSafe(F.col("wanted.doc_id"))
+        & F.col(f"own.`{source_col}`").eqNullSafe(F.col("wanted.source"))
+        & (F.col("size") == F.col("wanted.size"))
     )
+    taken = own.join(wanted, matches).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("wanted.times"))))
+    return taken.select("own.*")
