@@ -5,11 +5,13 @@ Words are longest runs of digits, small letters and non-ASCII characters once A-
 A window is `window` consecutive words of an item; an item of fewer words, but not none, is one
 window as a whole. A document word within any occurrence of a window is hit.
 
-The items are read on the driver, as a query set, in blocks of at most `block_words` words (an
-item is not split); each block is an automaton and goes to the executors as one broadcast of
-that bounded size, and the documents pass the blocks one after another in the same tasks: map
-only, no shuffle. Before the automaton walks, a table of the items' word triples passes over
-text that cannot match; it never hides a match.
+The items are read on the driver, as a query set, in blocks of at most `block_words` words; a
+longer item is cut into pieces that overlap by `window` - 1 words, so that each of its windows is
+whole in one of them. Each block is an automaton and goes to the executors as one broadcast of that
+bounded size; the driver holds one at a time. The documents pass up to BLOCKS_AT_ONCE blocks one
+after another in the same tasks: map only, no shuffle. With more blocks they are written in
+between, and the blocks behind them are dropped. Before the automaton walks, a table of the items'
+word triples passes over text that cannot match; it never hides a match.
 
 Nulls: a null text has no words; an item without text or words has no windows; an item without
 an id is left out; a null document id stays null. Repeated rows are treated alike, each item id
@@ -29,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.llm.scratch import Scratch
 from sedimenta.llm.words import FOLD, INSIDE_SYMBOLS, Words, column, find_words, grams, slices
 
-HITS, ITEMS, WORDS = "__hits", "__items", "__words"
+BLOCKS_AT_ONCE = 4
 _ITEM_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -194,18 +197,36 @@ def automata(benchmark: DataFrame, window: int, block_words: int, id_col: str, t
     rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).where(
         F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
     )
+    most = max(block_words, window)
     block, size = [], 0
     for name, text in rows.toLocalIterator():
-        words = item_words(text)
-        if block and size + len(words) > block_words:
-            yield SuffixAutomaton(block, window)
-            block, size = [], 0
-        block.append((name, words))
-        size += len(words)
+        for words in _pieces(item_words(text), most, window):
+            if block and size + len(words) > most:
+                yield SuffixAutomaton(block, window)
+                block, size = [], 0
+            block.append((name, words))
+            size += len(words)
     if block:
         yield SuffixAutomaton(block, window)
 
 
+def _pieces(words: list[bytes], most: int, window: int) -> Iterator[list[bytes]]:
+    """The words in pieces of at most `most`; every `window` words in a row are in one of them."""
+    if len(words) <= most:
+        yield words
+        return
+    for at in range(0, len(words) - window + 1, most - window + 1):
+        yield words[at : at + most]
+
+
+def _own_names(columns: list[str]) -> tuple[str, str, str]:
+    """Names for the columns of words, hits and items that none of `columns` has."""
+    taken, end = {c.lower() for c in columns}, ""
+    while taken & {f"__words{end}", f"__hits{end}", f"__items{end}"}:
+        end += "_"
+    return f"__words{end}", f"__hits{end}", f"__items{end}"
+
+
 def find_leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -215,15 +236,24 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """The documents with `__words` (how many), `__hits` (places of the hit words, packed as
-    64-bit numbers) and `__items` (ids of the items met, sorted as strings)."""
+    """The documents and three more columns, the last ones: how many words, the places of the hit
+    words (packed as 64-bit numbers) and the ids of the items met (sorted as strings). They are
+    named `__words`, `__hits` and `__items`, with underscores after them where a name is in use."""
     spark = documents.sparkSession
-    frame = documents.withColumns(
-        {WORDS: F.lit(0).cast("long"), HITS: F.lit(b"").cast("binary"), ITEMS: F.array().cast("array<string>")}
-    )
-    blocks = list(automata(benchmark, window, block_words, item_id, item_text)) or [SuffixAutomaton([], window)]
-    for block in blocks:
-        frame = frame.mapInArrow(_searcher(spark.sparkContext.broadcast(block), text_col), _nullable(frame.schema))
+    own = _own_names(documents.columns)
+    empty = F.lit(0).cast("long"), F.lit(b"").cast("binary"), F.array().cast("array<string>")
+    frame = documents.withColumns(dict(zip(own, empty, strict=True)))
+    schema, scratch, sent = _nullable(frame.schema), Scratch(spark, "leaks"), []
+    for block in automata(benchmark, window, block_words, item_id, item_text):
+        if len(sent) == BLOCKS_AT_ONCE:
+            frame = scratch.keep(frame, "documents")
+            for shared in sent:
+                shared.destroy()
+            sent = []
+        sent.append(spark.sparkContext.broadcast(block))
+        frame = frame.mapInArrow(_searcher(sent[-1], text_col, own), schema)
+    if not sent:
+        frame = frame.mapInArrow(_searcher(spark.sparkContext.broadcast(SuffixAutomaton([], window)), text_col, own), schema)
     return frame
 
 
@@ -231,20 +261,22 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
-def _searcher(shared, text_col: str):
+def _searcher(shared, text_col: str, own: tuple[str, str, str]):
+    words_col, hits_col, items_col = own
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for part in slices(batches, text_col):
             words = find_words(column(part, text_col), INSIDE_SYMBOLS, fold=True)
-            hits, items = column(part, HITS).to_pylist(), column(part, ITEMS).to_pylist()
+            hits, items = column(part, hits_col).to_pylist(), column(part, items_col).to_pylist()
             for row, (places, names) in automaton.search(words).items():
                 before = np.frombuffer(hits[row], dtype=np.int64)
                 hits[row] = np.union1d(before, places).tobytes()
                 items[row] = sorted({*items[row], *names})
             values = {
-                WORDS: pa.array(words.counts, pa.int64()),
-                HITS: pa.array(hits, pa.binary()),
-                ITEMS: pa.array(items, pa.list_(pa.string())),
+                words_col: pa.array(words.counts, pa.int64()),
+                hits_col: pa.array(hits, pa.binary()),
+                items_col: pa.array(items, pa.list_(pa.string())),
             }
             for name, value in values.items():
                 i = part.schema.get_field_index(name)
@@ -255,13 +287,15 @@ def _searcher(shared, text_col: str):
 
 
 def leak_report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Figures for each document of a frame made by `find_leaks`."""
+    words, hits, items = found.columns[-3:]
     return found.select(
         F.col(id_col).alias("doc_id"),
-        F.col(WORDS).alias("n_words"),
-        F.expr(f"cast(octet_length({HITS}) div 8 as bigint)").alias("n_hit"),
-        F.size(ITEMS).cast("long").alias("n_items"),
-        F.sha2(F.array_join(ITEMS, ",").cast("binary"), 256).alias("items_sha256"),
-        (F.octet_length(HITS) > 0).alias("contaminated"),
+        F.col(words).alias("n_words"),
+        F.expr(f"cast(octet_length({hits}) div 8 as bigint)").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.octet_length(hits) > 0).alias("contaminated"),
     )
 
 
@@ -272,10 +306,11 @@ def without_leaks(
     one, is counted anew). A document hit in over `max_coverage_percent` of its words goes."""
 
     names = documents.columns
+    words_col, hits_col, _ = _own_names(names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col):
-            texts, hits = column(part, text_col), column(part, HITS)
+            texts, hits = column(part, text_col), column(part, hits_col)
             if pc.max(pc.binary_length(hits)).as_py():
                 changed = [
                     _cut(t, np.frombuffer(h, dtype=np.int64)) if h else t
@@ -286,7 +321,7 @@ def without_leaks(
             yield part.select(names)
 
     found = find_leaks(documents, benchmark, text_col=text_col, **search)
-    few = F.octet_length(HITS) * F.lit(100) <= F.lit(8 * max_coverage_percent) * F.col(WORDS)
+    few = F.octet_length(hits_col) * F.lit(100) <= F.lit(8 * max_coverage_percent) * F.col(words_col)
     kept = found.where(few).mapInArrow(cut, _nullable(documents.schema))
     if "n_chars" in names:
         kept = kept.withColumn("n_chars", F.length(text_col).cast(documents.schema["n_chars"].dataType))
