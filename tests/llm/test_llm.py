@@ -17,7 +17,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sedimenta.llm.decontaminate import find_leaks, leak_report, without_leaks
+from sedimenta.llm import source_mix
+from sedimenta.llm.decontaminate import _pieces, automata, find_leaks, leak_report, without_leaks
 from sedimenta.llm.encoding import Encoder
 from sedimenta.llm.license_scan import scan_licences
 from sedimenta.llm.line_quality import judge_lines, keep_clean
@@ -317,6 +318,44 @@ def test_mix_sources(docs, rows):
             assert again[r.doc_id] == (r.taken // r["size"] if r["size"] else 0)
 
 
+def test_sums_over_many_blocks_of_ranges(docs, monkeypatch):
+    whole = ordered(mix_report(mix_sources(docs)))
+    for rows in (2, 3):
+        monkeypatch.setattr(source_mix, "RANGE_ROWS", rows)
+        assert ordered(mix_report(mix_sources(docs))) == whole
+
+
+def test_own_columns_do_not_clash(spark, docs):
+    names = ["__times", "__own", "own", "wanted", "copy", "__words", "__HITS", "__items", "size", "words", "block"]
+    odd = docs.drop("size").select("*", *(F.lit(7 + i).alias(n) for i, n in enumerate(names)))
+    bench = odd.where("length(text) > 200").select(F.col("doc_id").alias("item_id"), "text").limit(3)
+    mixed, clean = take_mix(odd), without_leaks(odd, bench)
+    assert mixed.columns == clean.columns == odd.columns
+    assert ordered(mixed.select("doc_id", "text")) == ordered(take_mix(docs).select("doc_id", "text"))
+    assert ordered(clean.select("doc_id", "text")) == ordered(without_leaks(docs, bench).select("doc_id", "text"))
+    for frame in (mixed, clean):
+        assert [tuple(r) for r in frame.select(*(f"`{n}`" for n in names)).distinct().collect()] == [tuple(range(7, 7 + len(names)))]
+    plain = ordered(leak_report(find_leaks(docs, bench)))
+    assert ordered(leak_report(find_leaks(odd, bench))) == plain
+
+
+def test_long_items_and_many_blocks(spark, docs):
+    texts = [r.text for r in docs.where("length(text) > 400").orderBy("doc_id").limit(4).collect()]
+    items = [("long", " and then ".join(texts)), ("short", texts[0][:60]), ("none", ""), ("half", texts[1][:150])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    whole = ordered(leak_report(find_leaks(docs, bench)))
+    assert sum(r[2] for r in whole if r[2]) > 0
+    frame = find_leaks(docs, bench, block_words=25)
+    assert ordered(leak_report(frame)) == whole
+    assert len(list(automata(bench, 10, 25, "item_id", "text"))) > 4 * 2
+    for words in range(10, 60):
+        pieces = list(_pieces([b"%d" % i for i in range(words)], 12, 10))
+        assert all(10 <= len(p) <= 12 for p in pieces)
+        assert {tuple(p[i : i + 10]) for p in pieces for i in range(len(p) - 9)} == {
+            tuple(b"%d" % j for j in range(i, i + 10)) for i in range(words - 9)
+        }
+
+
 def test_a_small_source_stops_at_three_times_its_size(spark):
     rows = [(i, "w " * 10, "", "a") for i in range(90)] + [(100, "w " * 10, "", "b"), (101, "w", "", "c")]
     got = mix_report(mix_sources(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))).collect()
@@ -455,6 +494,32 @@ def test_licences(spark):
     }
 
 
+@pytest.mark.parametrize("mark", ["", "A long line goes before it and tells of other things, such as a lake and the fish in it. "])
+def test_relatives_and_denials_are_not_confirmed(spark, mark):
+    cases = [
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL"),
+        (GPL.replace("GNU General", "GNU Affero General"), "AGPL"),
+        (GPL, "GPL"),
+        ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC"),
+        ("Licensed under CC BY-ND 4.0.", "CC-BY-ND"),
+        ("Licensed under the Apache License, Version 1.1.", ""),
+        ("Licensed under the Apache License, Version 2.0.", "Apache"),
+        ("This is not licensed under the MIT license.", ""),
+        ("This isn't licensed under the MIT license.", ""),
+        ("It is no longer released under the MIT License.", ""),
+        ("AT&T licensed under the MIT license.", "MIT"),
+        ("Licensed under the ISC License.", "ISC"),
+        ("Licensed under the Artistic License 2.0.", "Artistic"),
+        ("Licensed under the Eclipse Public License 2.0.", "EPL"),
+    ]
+    other = [f"Line {i} tells of the copyright of {i} songs and of a licence to fish." for i in range(40)]
+    rows = [(i, mark + text) for i, (text, _) in enumerate(cases)] + [(100 + i, t) for i, t in enumerate(other)]
+    got = {r.doc_id: r.families for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(cases))] == [family for _, family in cases]
+    assert {got[100 + i] for i in range(40)} == {""}
+
+
 MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
     'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
