@@ -27,7 +27,7 @@ from sedimenta.llm.queries import QUERIES, tokenizer_path
 from sedimenta.llm.secret_scan import find_secrets
 from sedimenta.llm.site_quality import judge_quality
 from sedimenta.llm.source_mix import mix_report, mix_sources, take_mix
-from sedimenta.llm.substring_dedup import remove_repeats
+from sedimenta.llm.substring_dedup import candidate_windows, lengths, remove_repeats
 from sedimenta.llm.token_counts import count_tokens
 from sedimenta.llm.token_files import read_documents, read_token_files, write_token_files
 from sedimenta.llm.words import find_words
@@ -214,6 +214,46 @@ def test_remove_repeats(docs, rows):
     expected = brute_repeats(rows)
     assert sum(r[2] for r in expected) > 500
     assert ordered(remove_repeats(docs)) == expected
+    assert ordered(remove_repeats(docs, buckets=3)) == expected
+
+
+def brute_candidates(rows, window, shortest):
+    """Windows that hold no part of any shorter length, at whatever place, that one document has alone."""
+    texts = [(doc, WORD.findall(text or "")) for doc, text, *_ in rows if doc is not None]
+    windows = [(w, i) for _, w in texts for i in range(len(w) - window + 1)]
+    out = [len(windows)]
+    for length in lengths(window, shortest)[:-1]:
+        holders = {}
+        for doc, w in texts:
+            for i in range(len(w) - length + 1):
+                holders.setdefault(tuple(w[i : i + length]), set()).add(doc)
+        windows = [
+            (w, i)
+            for w, i in windows
+            if all(len(holders[tuple(w[j : j + length])]) > 1 for j in range(i, i + window - length + 1))
+        ]
+        out.append(len(windows))
+    return out
+
+
+def test_each_length_looks_at_what_the_one_before_left(docs, rows):
+    assert lengths() == [4, 8, 13] and lengths(16, 4) == [4, 8, 16] and lengths(3) == [3]
+    found = [(r.length, r.windows) for r in candidate_windows(docs).orderBy("length").collect()]
+    assert [length for length, _ in found] == [4, 8, 13]
+    windows, least = [n for _, n in found], brute_candidates(rows, 13, 4)
+    assert windows[0] == least[0] and windows[0] > windows[1] > windows[2]
+    # A representative can be repeated where other parts of its window are not.
+    assert all(n >= m for n, m in zip(windows, least, strict=True))
+    repeated = sum(r[2] for r in brute_repeats(rows))
+    assert windows[2] < windows[0] and repeated > 0
+
+
+def test_a_common_phrase_in_many_surroundings_is_no_repeat(spark):
+    phrase = " ".join(f"common{i}" for i in range(12))
+    rows = [(i, f"a{i} b{i} c{i} {phrase} d{i} e{i} f{i}") for i in range(400)] + [(500, f"x {phrase} d7 y"), (None, phrase), (501, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ordered(remove_repeats(docs)) == brute_repeats(rows)
+    assert [r.n_removed for r in remove_repeats(docs).where("doc_id in (7, 500)").orderBy("doc_id").collect()] == [0, 13]
 
 
 def test_token_files_round_trip(spark, docs, rows, tmp_path):
