@@ -41,7 +41,7 @@ from sedimenta.llm.words import column, covered, find_words, gram_starts, grams,
 WINDOW = 13
 SHORTEST = 4
 #: Text of a group, which one task holds.
-BUCKET_BYTES = 1 << 24
+BUCKET_BYTES = 1 << 23
 _AT_ONCE = 100_000
 
 #: ASK: hashes from `sender` to `bucket`. ANSWER: a bit for each of them, the other way. STATE: a
@@ -282,8 +282,7 @@ def _dealt(documents: DataFrame, buckets: int | None, id_col: str, text_col: str
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if buckets is None:
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(2 * partitions, -(-size // BUCKET_BYTES))
+        buckets = max(1, -(-size // BUCKET_BYTES))
     bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
     return texts.select(bucket.alias("bucket"), "doc_id", "text"), buckets
 
@@ -328,7 +327,8 @@ def remove_repeats(
 ) -> DataFrame:
     """One row a document: its words, how many of them go, and the text that is left (words
     joined by a space) with its digest. `buckets` defaults to as many groups as hold `BUCKET_BYTES`
-    of text each, and to two for each partition of the session's shuffles at least."""
+    of text each. A group asks each other one in one row, so rows grow with the square of `buckets`
+    as long as groups are few, and never beyond one for each different part."""
     dealt, count = _dealt(documents, buckets, id_col, text_col)
     _, answers = _levels(dealt, count, window, shortest)
     both = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket"))
