@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from sedimenta.llm.words import text_bytes
+from sedimenta.llm.words import CACHES, text_bytes
 
 #: Text a caller should hand over at a time: enough for parts to repeat, little for memory.
 SLICE_BYTES = 1 << 21
@@ -28,6 +28,7 @@ SLICE_BYTES = 1 << 21
 MOST_KNOWN = 400_000
 MOST_BYTES = 1 << 24
 _ENCODERS: dict[str, Encoder] = {}
+CACHES.append(_ENCODERS)
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[*range(0x09, 0x0E), 0x20]] = True

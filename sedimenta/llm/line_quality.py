@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.words import Words, column, covered, find_words, gram_starts, grams, mix, slices, text_bytes
+from sedimenta.llm.words import Words, column, covered, find_words, gram_starts, grams, lean, mix, slices, text_bytes
 
 WINDOW = 8
 
@@ -171,7 +171,7 @@ def judge_lines(
                 del found["clean_text"]
             yield pa.RecordBatch.from_pydict({"doc_id": column(part, "doc_id"), **found})
 
-    return source.mapInArrow(run, f"doc_id long, {MEASURES}" + ", clean_text string" * with_text)
+    return source.mapInArrow(lean(run), f"doc_id long, {MEASURES}" + ", clean_text string" * with_text)
 
 
 def keep_clean(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text") -> DataFrame:
@@ -186,7 +186,7 @@ def keep_clean(documents: DataFrame, rules: Rules = Rules(), text_col: str = "te
             changed = part.set_column(at, part.schema.field(at), found["clean_text"].cast(part.schema.field(at).type))
             yield changed.filter(found["kept"])
 
-    kept = documents.mapInArrow(run, documents.schema)
+    kept = documents.mapInArrow(lean(run), documents.schema)
     if "n_chars" in names:
         kept = kept.withColumn("n_chars", F.length(text_col).cast(documents.schema["n_chars"].dataType))
     return kept

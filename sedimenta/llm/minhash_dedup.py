@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.scratch import Scratch
-from sedimenta.llm.words import column, find_words, grams, mix, multipliers, slices
+from sedimenta.llm.words import column, find_words, grams, lean, mix, multipliers, slices
 
 HALVES = 20
 ROWS = 3
@@ -208,7 +208,7 @@ class _Rounds:
         first = self.sets.select(F.col("id").alias("a"), F.col("items").alias("set_a"))
         second = self.sets.select(F.col("id").alias("b"), F.col("items").alias("set_b"))
         found = new.join(first, "a").join(second, "b").select("a", "b", "set_a", "set_b")
-        links = self.scratch.keep(found.mapInArrow(_confirm(self.percent), "a long, b long"), f"links-{name}")
+        links = self.scratch.keep(found.mapInArrow(lean(_confirm(self.percent)), "a long, b long"), f"links-{name}")
         mapped = self.labelled(self.labelled(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         mapped = mapped.where("a <> b").distinct()
         if mapped.isEmpty():
@@ -264,7 +264,7 @@ def near_duplicates(
     scratch = Scratch(spark, "near-duplicates")
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = scratch.keep(
-        texts.mapInArrow(_sketches(words), "doc_id long, n_shingles long, set_hash binary, keys array<long>"), "sketches"
+        texts.mapInArrow(lean(_sketches(words)), "doc_id long, n_shingles long, set_hash binary, keys array<long>"), "sketches"
     )
     usable = sketches.where(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
     nodes = usable.groupBy("set_hash").agg(
@@ -276,7 +276,7 @@ def near_duplicates(
     members = scratch.keep(tables.select("id").distinct(), "members")
     wanted = nodes.join(members, "id", "left_semi").select("id", "doc_id", "set_hash")
     found = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        _sets(words), "doc_id long, set_hash binary, items binary"
+        lean(_sets(words)), "doc_id long, set_hash binary, items binary"
     )
     sets = found.join(wanted, ["doc_id", "set_hash"]).select("id", "set_hash", "items")
     sets = scratch.keep(sets.dropDuplicates(["id"]), "sets")
@@ -295,7 +295,7 @@ def near_duplicates(
     bits = scratch.keep(
         sets.join(left, "id", "left_semi")
         .select("id", "items")
-        .mapInArrow(_sketch_bits, "id long, " + ", ".join(f"{c} long" for c in _BIT_COLUMNS)),
+        .mapInArrow(lean(_sketch_bits), "id long, " + ", ".join(f"{c} long" for c in _BIT_COLUMNS)),
         "bits",
     )
     # Two half keys in common make a table in common; a pair is met under its first one only.

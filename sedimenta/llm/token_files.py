@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.encoding import SLICE_BYTES, encoder_for
-from sedimenta.llm.words import column, slices
+from sedimenta.llm.words import column, lean, slices
 
 END = 2
 
@@ -155,7 +155,7 @@ def write_token_files(
             }
         )
 
-    return ranged.mapInArrow(run, _MANIFEST)
+    return ranged.mapInArrow(lean(run, caches=False), _MANIFEST)
 
 
 def read_documents(file: str, wanted: Iterable[int] | None = None) -> Iterator[tuple[int | None, np.ndarray]]:

@@ -7,8 +7,10 @@ result, callers compare two independent hashes or the words themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,8 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 1 << 20
+#: What workers keep between tasks of one kind; tasks of another kind empty these.
+CACHES: list[dict] = []
 LONG_WORD = 64
 
 
@@ -150,6 +154,30 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SL
             at = to
 
 
+def release_memory(caches: bool = True) -> None:
+    """Give back what this worker has freed, which the allocators keep otherwise."""
+    if caches:
+        for cache in CACHES:
+            cache.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable, caches: bool = True) -> Callable:
+    """`run` over the batches of a task, with memory given back at its end: workers are used again."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory(caches)
+
+    return task
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

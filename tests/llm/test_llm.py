@@ -672,3 +672,13 @@ def test_pipeline_stages(spark):
 def test_all_queries_are_there():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline")
     assert numbers == list(range(1, 14))
+
+
+def test_other_tasks_drop_the_encoder():
+    from sedimenta.llm import encoding
+    from sedimenta.llm.words import lean
+
+    with open(tokenizer_path()) as file:
+        encoding.encoder_for(file.read())
+    assert list(lean(lambda batches: iter([1]), caches=False)(iter([]))) == [1] and encoding._ENCODERS
+    assert list(lean(lambda batches: iter([1, 2]))(iter([]))) == [1, 2] and not encoding._ENCODERS
