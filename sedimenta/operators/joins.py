@@ -50,6 +50,9 @@ def join_skewed(
     the first join has both inputs fresh from a shuffle. ``many`` must come from a scan
     through narrow steps only: its salt is the row position, which a task that is run again
     then reproduces. Equal rows get different salts, so a run of copies is spread as well.
+    Both sides are shuffled, whatever their sizes: the optimizer does not see that the repeated side
+    is ``salts`` times as large, and would send it whole through the driver; and a side that may be
+    broadcast needs no salt.
     """
     if salts < 1:
         raise ValueError("salts must be at least 1")
@@ -59,4 +62,4 @@ def join_skewed(
     salted_many = many.withColumn(_SALT, F.monotonically_increasing_id() % F.lit(salts))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     salted_one = one.withColumn(_SALT, F.explode(every_salt))
-    return salted_many.join(salted_one, [*names, _SALT]).drop(_SALT)
+    return salted_many.join(salted_one.hint("merge"), [*names, _SALT]).drop(_SALT)
