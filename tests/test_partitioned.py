@@ -105,3 +105,13 @@ def test_batches_that_do_not_fit_are_refused_before_any_change(spark, split):
     narrow = spark.createDataFrame([("w", 7, "05")], "k string, v bigint, d string")
     split.save(narrow, "gold", "t", ["k"])
     assert rows(split.read("gold", "t")) == sorted([*before, ("w", 7, "05")], key=repr)
+
+
+def test_the_first_batch_is_written_once_and_marks_need_no_shuffle(spark, layout):
+    split = PartitionedStore(spark, layout, {("gold", "t"): F.col("k")})
+    first = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 3)], "k string, v int")
+    assert not split.save(first, "gold", "t", ["k"], unique=True).empty
+    assert not os.path.exists(f"{layout.path('gold', 't')}_batches")
+    assert rows(split.read("gold", "t").select("k", "v")) == rows(first)
+    split.set_where("gold", "t", F.col("v") == 3, {"v": "4"})
+    assert sorted(r.v for r in split.read("gold", "t").collect()) == [1, 2, 4, 4]
