@@ -105,3 +105,10 @@ def test_skewed_join_is_the_plain_join(spark, salts):
 def test_skewed_join_checks_salts(spark):
     with pytest.raises(ValueError):
         join_skewed(spark.range(1), spark.range(1), "id", 0)
+
+
+def test_the_repeated_side_of_a_salted_join_is_not_broadcast(spark):
+    many, one = spark.range(100).selectExpr("id % 10 as k", "id as v"), spark.range(10).selectExpr("id as k", "id * 2 as w")
+    joined = join_skewed(many, one, "k", salts=4)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == rows(many.join(one, "k"))

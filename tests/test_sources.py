@@ -24,6 +24,7 @@ from sedimenta.sources import (
     write_files,
     write_snapshot,
 )
+from sedimenta.sources import snapshots
 from sedimenta.sources.landing import is_absent
 from sedimenta.sources.snapshots import set_matched_many
 
@@ -232,3 +233,30 @@ def test_a_new_table_is_refused_repeated_keys(spark, tmp_path):
         create_or_upsert(repeated, str(tmp_path / "t"), "k")
     keyless = spark.createDataFrame([(None, "a"), (None, "b")], "k int, v string")
     assert create_or_upsert(keyless, str(tmp_path / "u"), "k").rows == 2
+
+
+def test_setting_all_rows_writes_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_snapshot(spark.createDataFrame([(1, False), (2, None)], "k int, p boolean"), path)
+    assert snapshots.set_all(spark, path, {"p": "true"}).rows == 2
+    assert [f for f in os.listdir(f"{path}/v000002") if f.endswith(".parquet")] == []
+    assert rows(read_table(spark, path)) == [(1, True), (2, True)]
+    assert rows(read_table(spark, path, 1)) == [(1, False), (2, None)]
+    assert snapshots.set_all(spark, path, {"k": "7"}).version == 3
+    # What the notes stand on stays as long as one of them does.
+    assert expire_snapshots(spark, path, keep=1) == [1, 2]
+    assert rows(read_table(spark, path)) == [(7, True), (7, True)]
+    assert sorted(d for d in os.listdir(path) if d.startswith("v")) == ["v000003"]
+    snapshots.set_all(spark, path, {"k": "k + 1"})  # not a constant: the rows are written
+    assert expire_snapshots(spark, path, keep=1) == [3]
+    assert rows(read_table(spark, path)) == [(8, True), (8, True)] and os.listdir(f"{path}/_base") == []
+
+
+def test_a_write_leaves_no_shuffle_files_and_no_setting(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with snapshots.shuffles_dropped(spark), snapshots.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
+    info = write_snapshot(spark.range(100).repartition(3, "id"), str(tmp_path / "t"))
+    assert info.rows == 100 and any(f.endswith(".zstd.parquet") for f in os.listdir(info.path))
