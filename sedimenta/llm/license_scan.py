@@ -2,12 +2,16 @@
 
 Features are binary word 1- to 3-grams that occur in the templates below; a multinomial logistic
 regression with an L1 penalty leaves few of them with a weight. It is trained here, on the
-templates, on parts of them that still name their licence, and on DISTRACTORS and paragraphs
-without a cue as the unknown class. Its threshold is calibrated on paragraphs that were not in
-training and are not licences: others without a cue, and distinct lines with a cue that have no three
-words in a row with any template. A family counts only if its probability is above what all but 1 in
-1,000 of either reach with their likeliest family, and above 1/2. Of each kind at most `background`
-paragraphs are taken (those with the smallest hash of their text, spread over all).
+templates, on parts of them that still name their licence, and on DISTRACTORS and lines without a
+cue as the unknown class. Its threshold is calibrated on lines that were not in training and are not
+licences: others without a cue, and those with a cue. None of them has three words in a row with any
+template, as the lines of a wrapped notice have. A family counts only if its probability is above
+what all but 1 in 1,000 of either reach with their likeliest family, and above 1/2. All such lines
+of all texts are taken, each different one once: of those without a cue half for training and half
+for calibration, by their hash. So that they do not outweigh the templates, those in training
+weigh together as much as `background` / 2 of them, if they are more. Lines are features when they
+are shuffled, and training and calibration run over all partitions. Probabilities are rounded to
+six digits, as sums over partitions differ behind them from run to run.
 
 A candidate is a line with one of the CUES, also one whose words go on in the next line. No
 template is without a cue. It is judged twice:
@@ -42,7 +46,7 @@ import re
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.scratch import Scratch
@@ -228,8 +232,16 @@ def _templates(spark: SparkSession) -> DataFrame:
     return frame.select("family", "text", "words", F.array_distinct(_grams(F.col("words"), 2)).alias("pairs"))
 
 
-def _training(templates: DataFrame, background: DataFrame) -> DataFrame:
-    """(label text, words): templates, and their parts of three quarters and a half."""
+def _known_grams(words: Column, n: int, vocabulary: list[str]) -> Column:
+    """The runs of n words that the vocabulary has. Only where a word begins one is a run made."""
+    known = [g for g in vocabulary if g.count(" ") == n - 1]
+    starts = sorted({g.split(" ")[0] for g in known})
+    run = lambda w, i: F.concat_ws(" ", w, *(F.get(words, i + k) for k in range(1, n)))
+    return F.filter(F.transform(words, lambda w, i: F.when(w.isin(starts), run(w, i))), lambda g: g.isin(known))
+
+
+def _training(templates: DataFrame) -> DataFrame:
+    """(label text, words): templates, and their parts of three quarters and a half; DISTRACTORS."""
     size = F.size("words")
     parts = F.array(
         F.col("words"),
@@ -240,7 +252,7 @@ def _training(templates: DataFrame, background: DataFrame) -> DataFrame:
     )
     known = templates.select("family", F.explode(parts).alias("words")).where("words is not null")
     spark = templates.sparkSession
-    other = spark.createDataFrame([(t,) for t in DISTRACTORS], "text string").unionByName(background.select("text"))
+    other = spark.createDataFrame([(t,) for t in DISTRACTORS], "text string")
     return known.union(other.select(F.lit(UNKNOWN), words_of(F.col("text"))))
 
 
@@ -252,41 +264,66 @@ class LicenceModel:
 
     def predict(self, paragraphs: DataFrame) -> DataFrame:
         """Adds family, its probability and the largest one of a known family to rows that have `words`."""
-        counted = self.vocabulary.transform(paragraphs.withColumn("grams", features_of(F.col("words"))))
-        scored = self.regression.transform(counted).withColumn("chances", vector_to_array("probability"))
+        return self.score(self.vocabulary.transform(paragraphs.withColumn("grams", features_of(F.col("words")))), paragraphs.columns)
+
+    def score(self, counted: DataFrame, kept: list[str]) -> DataFrame:
+        """The same for rows that have `features`."""
+        chances = F.transform(vector_to_array("probability"), lambda p: F.round(p, 6))
+        scored = self.regression.transform(counted).withColumn("chances", chances)
         names = F.array(*map(F.lit, self.families))
         return scored.select(
-            *paragraphs.columns,
+            *kept,
             F.element_at(names, F.col("prediction").cast("int") + 1).alias("family"),
             F.array_max("chances").alias("probability"),
             F.array_max(F.slice("chances", 1, len(self.families) - 1)).alias("known"),
         )
 
 
-def train(background: DataFrame, cued: DataFrame) -> LicenceModel:
-    """A model from the templates and two bounded tables of paragraphs (text) that are no licences,
-    without a cue and with one."""
+def _vocabulary(templates: DataFrame) -> list[str]:
+    grams = templates.select(F.explode(features_of(F.col("words"))).alias("gram")).distinct().orderBy("gram")
+    return [r["gram"] for r in grams.collect()]
+
+
+def _counter(vocabulary: list[str]) -> CountVectorizerModel:
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features")
+    counter.setBinary(True)
+    return counter
+
+
+def train(background: DataFrame, cued: DataFrame, vocabulary: list[str], most: int) -> LicenceModel:
+    """A model from the templates and two tables of lines that are no licences: those without a cue
+    (text_hash, features) and with one (text). In training the first weigh as much as `most` / 2 rows."""
     spark = background.sparkSession
-    half = F.pmod(F.xxhash64("text"), F.lit(2)) == 0
-    templates = _templates(spark)
-    rows = _training(templates, background.where(half))
+    half = F.pmod("text_hash", F.lit(2)) == 0
     families = [*TEMPLATES, UNKNOWN]
     numbers = F.map_from_arrays(F.array(*map(F.lit, families)), F.array(*(F.lit(float(i)) for i in range(len(families)))))
-    grams = templates.select(F.explode(features_of(F.col("words"))).alias("gram")).distinct().orderBy("gram")
-    vocabulary = CountVectorizerModel.from_vocabulary([r["gram"] for r in grams.collect()], "grams", "features")
-    vocabulary.setBinary(True)
-    labelled = vocabulary.transform(
-        rows.select(F.element_at(numbers, F.col("family")).alias("label"), features_of(F.col("words")).alias("grams"))
-    ).select("label", "features").coalesce(1).cache()
-    regression = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, standardization=False)
-    model = regression.fit(labelled)
-    labelled.unpersist()
-    first = LicenceModel(vocabulary, model, families, 0.5)
-    held_out = background.where(~half).select("text", F.lit(False).alias("cued")).union(cued.select("text", F.lit(True)))
-    others = first.predict(held_out.select("cued", words_of(F.col("text")).alias("words")))
-    reached = others.groupBy("cued").agg(F.percentile_approx("known", 0.999, 1000).alias("reached"))
-    high = reached.agg(F.max("reached")).first()[0]
-    return LicenceModel(vocabulary, model, families, max(0.5, high or 0.0))
+    counter = _counter(vocabulary)
+    own = counter.transform(
+        _training(_templates(spark)).select(
+            F.element_at(numbers, F.col("family")).alias("label"), features_of(F.col("words")).alias("grams")
+        )
+    ).select("label", "features", F.lit(1.0).alias("weight"))
+    taught = background.where(half)
+    weight = min(1.0, most / 2 / max(1, taught.count()))
+    unknown = taught.select(F.lit(float(len(families) - 1)).alias("label"), "features", F.lit(weight).alias("weight"))
+    regression = LogisticRegression(
+        family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, standardization=False, weightCol="weight"
+    )
+    model = regression.fit(own.coalesce(1).unionByName(unknown))
+    first = LicenceModel(counter, model, families, 0.5)
+    others = first.score(background.where(~half), []).select(F.lit(False).alias("cued"), "known")
+    others = others.unionByName(first.predict(cued.select(words_of(F.col("text")).alias("words"))).select(F.lit(True).alias("cued"), "known"))
+    return LicenceModel(counter, model, families, max(0.5, _reached(others) or 0.0))
+
+
+def _reached(others: DataFrame, one_in: int = 1_000) -> float | None:
+    """What all but one in `one_in` of the rows of either kind (cued, known) do not pass, if it is above
+    1/2. Rows are counted by probability, of which there are half a million above 1/2, with six digits."""
+    counts = others.groupBy("cued", F.greatest("known", F.lit(0.5)).alias("known")).agg(F.count(F.lit(1)).alias("n"))
+    of = Window.partitionBy("cued")
+    total, above = F.sum("n").over(of), F.sum("n").over(of.orderBy(F.desc("known")))
+    counts = counts.select("known", (above > F.floor(total / one_in)).alias("passed"))
+    return counts.where("passed").agg(F.max("known")).first()[0]
 
 
 def paragraphs_with_cues(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,22 +398,26 @@ def _laid(lines: DataFrame, forms: DataFrame, overlap_percent: int) -> DataFrame
     )
 
 
-def _spread(texts: DataFrame, most: int) -> DataFrame:
-    """At most `most` distinct texts, spread over all by their hash."""
-    return texts.distinct().orderBy(F.xxhash64("text"), "text").limit(most)
-
-
-def _background(documents: DataFrame, most: int, text_col: str) -> DataFrame:
-    """First lines without a cue."""
-    line = F.substring_index(F.coalesce(F.col(text_col), F.lit("")), "\n", 1).alias("text")
-    return _spread(documents.select(line).where((F.col("text") != "") & ~F.col("text").rlike(CUE)), most)
+def _background(documents: DataFrame, vocabulary: list[str], text_col: str) -> DataFrame:
+    """(text_hash, features): the different lines without a cue that have no three words in a row with
+    any template."""
+    words = F.col("words")
+    lines = F.filter(
+        F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]") & ~x.rlike(CUE)
+    )
+    # Words are made before the explosion: a filter behind it cannot move below and make them once for each word.
+    line = F.transform(lines, lambda x: F.struct(F.xxhash64(x, F.length(x)).alias("text_hash"), words_of(x).alias("words")))
+    rows = documents.select(F.explode(line).alias("line")).select("line.*")
+    rows = rows.where(F.size(_known_grams(words, 3, vocabulary)) == 0)
+    grams = F.concat(*(_known_grams(words, n, vocabulary) for n in (1, 2)))
+    counted = _counter(vocabulary).transform(rows.select("text_hash", grams.alias("grams")))
+    return counted.select("text_hash", "features").dropDuplicates(["text_hash"])
 
 
-def _cued(lines: DataFrame, most: int) -> DataFrame:
-    """Lines with a cue that have no three words in a row with any template."""
-    triples = _templates(lines.sparkSession).select(F.explode(_grams(F.col("words"), 3)).alias("triple")).distinct()
-    known = F.array(*(F.lit(r["triple"]) for r in triples.orderBy("triple").collect()))
-    return _spread(lines.select("text").where(~F.arrays_overlap(_grams(words_of(F.col("text")), 3), known)), most)
+def _cued(lines: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """The different lines with a cue that have no three words in a row with any template."""
+    known = F.array(*(F.lit(g) for g in vocabulary if g.count(" ") == 2))
+    return lines.select("text").where(~F.arrays_overlap(_grams(words_of(F.col("text")), 3), known)).distinct()
 
 
 def scan_licences(
@@ -392,9 +433,9 @@ def scan_licences(
     spark = documents.sparkSession
     scratch = Scratch(spark, "licences")
     lines = scratch.keep(paragraphs_with_cues(documents, id_col, text_col), "candidates")
-    model = train(
-        scratch.keep(_background(documents, background, text_col), "background"), scratch.keep(_cued(lines, background), "cued")
-    )
+    vocabulary = _vocabulary(_templates(spark))
+    others = scratch.keep(_background(documents, vocabulary, text_col), "background")
+    model = train(others, scratch.keep(_cued(lines, vocabulary), "cued"), vocabulary, background)
     predicted = model.predict(lines.withColumn("words", words_of(F.col("text"))))
     pairs = predicted.withColumn("own", _grams(F.col("words"), 2))
     forms = F.broadcast(_templates(spark).groupBy("family").agg(F.collect_list("pairs").alias("forms")))
