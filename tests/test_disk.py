@@ -8,13 +8,22 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from sedimenta.functions.keys import packed, unpacked
+from sedimenta.functions.keys import content_sums, packed, unpacked
 from sedimenta.operators.changes import table_changes
 from sedimenta.operators.dedupe import dedupe
 from sedimenta.operators.merge import leftover_keys, merge_frames
+from sedimenta.operators.audit import with_audit
 from sedimenta.plans import StepSpec, TableSpec, run_bronze, run_silver
 from sedimenta.sources import snapshots, write_files
-from sedimenta.sources.snapshots import create_or_upsert, read_changes, read_table
+from sedimenta.sources.snapshots import (
+    changes_in_slices,
+    create_or_upsert,
+    expire_snapshots,
+    read_changes,
+    read_table,
+    replace_keys,
+    save_first,
+)
 
 TEXTS = ["", "0", "00", "0a", "0A", "abc", "xyz", "ab" * 32, "é", "a b", None]
 KEY = "k string, v int"
@@ -96,3 +105,100 @@ def test_set_most_leaves_rows_without_a_key(spark, tmp_path):
     snapshots.write_snapshot(spark.createDataFrame([("a", 0), ("a", 1), (None, 2), ("b", 3)], KEY), path)
     snapshots.set_most(spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "x string"), path, [("k", "x")], {"v": "9"})
     assert rows(read_table(spark, path)) == [("a", 9), ("a", 9), ("b", 3), (None, 2)]
+
+
+def _parquet(path: str, version: int) -> list[str]:
+    folder = f"{path}/v{version:06d}"
+    return [f for f in os.listdir(folder) if f.endswith(".parquet")]
+
+
+def _states(spark, path, since):
+    return sorted((r.change, r.k, r.v) for r in read_changes(spark, path, since, "k").collect())
+
+
+def test_a_batch_with_the_rows_of_the_table_is_a_note(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame([("a", 1), ("b", None), ("c", 3)], KEY)
+    create_or_upsert(with_audit(frame, "2026-12-01 00:00:00"), path, "k", source_unique=True)
+    again = with_audit(frame.repartition(3), "2026-12-02 00:00:00").withColumn("processed", F.lit(True))
+    assert create_or_upsert(again, path, "k", source_unique=True).rows == 3
+    assert _parquet(path, 2) == [] and rows(read_table(spark, path)) == rows(again)
+    assert _states(spark, path, 1) == []
+    other = with_audit(frame.withColumn("v", F.coalesce("v", F.lit(2))), "2026-12-02 00:00:00")
+    create_or_upsert(other, path, "k", source_unique=True)
+    assert rows(read_table(spark, path)) == rows(other)
+    assert _states(spark, path, 2) == [("update_after", "b", 2), ("update_before", "b", None)]
+
+
+def test_rows_without_a_key_are_no_note(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = with_audit(spark.createDataFrame([("a", 1), (None, 2)], KEY), "2026-12-01 00:00:00")
+    for _ in range(2):
+        create_or_upsert(frame, path, "k", source_unique=True)
+    assert sorted(r.v for r in read_table(spark, path).collect()) == [1, 2, 2]
+
+
+def test_a_batch_of_new_keys_lies_beside_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batches = [spark.createDataFrame([(f"{n}{t}", n) for t in "ab"], KEY) for n in range(5)]
+    for n, batch in enumerate(batches):
+        assert create_or_upsert(batch.select("v", "k") if n else batch, path, "k", source_unique=True).rows == 2 * n + 2
+        snapshots.set_all(spark, path, {"v": "7"}) if n == 2 else None
+    whole = [(f"{n}{t}", 7 if n < 3 else n) for n in range(5) for t in "ab"]
+    assert read_table(spark, path).columns == ["k", "v"] and rows(read_table(spark, path)) == whole
+    assert _states(spark, path, 5) == [("insert", "4a", 4), ("insert", "4b", 4)]
+    assert expire_snapshots(spark, path, keep=1) and rows(read_table(spark, path)) == whole
+    create_or_upsert(batches[0].unionByName(batches[4]), path, "k", source_unique=True)
+    assert rows(read_table(spark, path)) == [("0a", 0), ("0b", 0), *whole[2:]]
+    expire_snapshots(spark, path, keep=1)
+    assert os.listdir(f"{path}/_base") == [] and read_table(spark, path).count() == 10
+
+
+@pytest.mark.parametrize("sliced", [True, False])
+def test_merges_changes_and_removals_in_slices(spark, tmp_path, monkeypatch, sliced):
+    if sliced:
+        monkeypatch.setattr(snapshots, "_SLICE", 1)
+        monkeypatch.setattr(snapshots, "_SMALL", 0)
+    path, keyless = str(tmp_path / "t"), [(None, -1), (None, -1)]
+    first = [(f"{i:02d}", i) for i in range(20)]
+    snapshots.write_snapshot(spark.createDataFrame([*first, *keyless], KEY), path)
+    create_or_upsert(spark.createDataFrame([(k, v * 2) for k, v in first[1:]] + [("new", 1), (None, 5)], KEY), path, "k", source_unique=True)
+    now = {k: v * 2 for k, v in first} | {"new": 1}
+    assert rows(read_table(spark, path)) == sorted([*now.items(), *keyless, (None, 5)], key=repr)
+    create_or_upsert(spark.createDataFrame([("03", 0), ("04", 0)], KEY), path, "k", source_unique=True)
+    now |= {"03": 0, "04": 0}
+    gone = spark.createDataFrame([("05",), ("06",), ("06",), (None,)], "k string")
+    replace_keys(spark.createDataFrame([(9, "06")], "v int, k string"), path, gone, "k")
+    now = {k: 9 if k == "06" else v for k, v in now.items() if k != "05"}
+    assert rows(read_table(spark, path)) == sorted([*now.items(), *keyless, (None, 5)], key=repr)
+    found = changes_in_slices(spark, path, 1, "k")
+    assert len(found) == (8 if sliced else 1)
+    got = sorted((r.change, r.k or "", r.v) for f in found for r in f.collect())
+    before = dict(first)
+    kept = [k for k in now if k in before and now[k] != before[k]]
+    expected = [("update_before", k, before[k]) for k in kept] + [("update_after", k, now[k]) for k in kept]
+    assert got == sorted([*expected, ("insert", "new", 1), ("insert", "", 5), ("delete", "05", 5)])
+
+
+@pytest.mark.parametrize("repeated", [[], [("07", -7), ("07", None)], [(f"{i:02d}", -i) for i in range(15)], [(None, 1), (None, 0)]])
+@pytest.mark.parametrize("small", [True, False])
+def test_first_rows_of_keys_by_hashes(spark, tmp_path, monkeypatch, repeated, small):
+    if not small:
+        monkeypatch.setattr(snapshots, "_SMALL", 0)
+    frame = spark.createDataFrame([(f"{i:02d}", i) for i in range(200)] + repeated, KEY)
+    for order, finish in (([], None), ([F.col("v").desc_nulls_last()], lambda df: with_audit(df, "2026-12-01 00:00:00"))):
+        path = str(tmp_path / f"t{len(order)}")
+        expected = dedupe(frame, "k", order)
+        expected = expected if finish is None else finish(expected)
+        for _ in range(1 if (None, 1) in repeated else 2):  # rows without a key are put in each time
+            assert save_first(frame, path, "k", ["k"], order, finish).rows == expected.count()
+            assert rows(read_table(spark, path)) == rows(expected)
+
+
+def test_content_sums_tell_rows_apart(spark):
+    kinds = "a string, b string, c timestamp, d double, e decimal(6, 2)"
+    base = "select 'x' a, 'y' b, timestamp '2026-12-01 00:00:00' c, 0.0d d, cast(1 as decimal(6, 2)) e"
+    others = ["select 'xy', '', c, d, e", "select null, 'y', c, d, e", "select a, b, null, d, e", "select a, b, c + interval 1 microsecond, d, e", "select a, b, c, -0.0d, e", "select a, b, c, d, 1.01"]
+    frames = [spark.sql(base)] + [spark.sql(f"with t as ({base}) {o} from t").toDF(*"abcde") for o in others]
+    sums = {tuple(f.to(spark.createDataFrame([], kinds).schema).agg(*content_sums(list("abcde"), f)).first()) for f in frames}
+    assert len(sums) == len(frames)
